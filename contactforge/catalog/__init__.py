@@ -1 +1,16 @@
 """Registered queries with their SQL twins, built over the shared test tables."""
+from __future__ import annotations
+
+
+def _load():
+    from . import base, relational  # noqa: F401
+
+    return base
+
+
+def queries() -> dict:
+    return dict(_load().QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_load().SQL)
