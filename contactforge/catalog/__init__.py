@@ -3,7 +3,7 @@ from __future__ import annotations
 
 
 def _load():
-    from . import base, relational  # noqa: F401
+    from . import base, relational, sequence, spatial  # noqa: F401
 
     return base
 

@@ -275,7 +275,7 @@ def _unordered_chain_cross(t: Tables):
 
 @query("assembly_match", """
 WITH asm AS (SELECT 'O' || l_orderkey::VARCHAR AS pdb, l_orderkey * 1000000 + l_partkey AS pos, l_returnflag || l_linestatus AS composition,
-  l_quantity AS diss_energy FROM lineitem),
+  l_partkey::DOUBLE AS diss_energy FROM lineitem),
 first_one AS (SELECT pdb, array_to_string(list_sort(string_split(composition, '')), '') AS k, arg_min(diss_energy, pos) AS diss_energy, min(pos) AS pos
   FROM asm GROUP BY 1, 2)
 SELECT o_orderkey AS id, f.pos, f.diss_energy FROM orders
@@ -283,7 +283,7 @@ JOIN first_one f ON f.pdb = 'O' || o_orderkey::VARCHAR AND f.k = array_to_string
 def _assembly_match(t: Tables):
     asm = t.lineitem.select(
         F.concat(F.lit("O"), "l_orderkey").alias("pdb"), (F.col("l_orderkey") * 1000000 + F.col("l_partkey")).alias("pos"),
-        F.concat("l_returnflag", "l_linestatus").alias("composition"), F.col("l_quantity").alias("diss_energy"),
+        F.concat("l_returnflag", "l_linestatus").alias("composition"), F.col("l_partkey").cast("double").alias("diss_energy"),
     )
     pairs = t.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("O"), "o_orderkey").alias("pdb"), F.col("o_orderstatus").alias("pep_chain"), F.lit("A").alias("prot_chain")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from .properties import letter_count
-from .text import standard_only
+from .text import bind, standard_only
 
 GROUP_DIGITS = "12345"
 TRIAD_LETTERS = "abcdefg"
@@ -106,6 +106,15 @@ def dde_vector(dipeptides: Column, n: Column) -> Column:
     )
 
 
+def triad_vector(counts: Column) -> Column:
+    """Triad counts scaled by their range within the sequence."""
+    def scaled(c: Column) -> Column:
+        limits = F.struct(F.array_min(c).alias("low"), F.array_max(c).alias("high"))
+        return bind(limits, lambda m: F.transform(c, lambda x: (x - m["low"]) / m["high"]))
+
+    return bind(counts, scaled)
+
+
 def class_strings(q: Column) -> Column:
     """Thirteen spellings of the sequence, one per property, over the class digits 1-3."""
     return F.array(*[_translated(q, groups, "123") for groups in fv.THREE_CLASSES.values()])
@@ -144,8 +153,7 @@ def ctdd_vector(classes: Column) -> Column:
             )
 
         shares = F.lit([0.0, 0.25, 0.5, 0.75, 1.0])
-        bound = F.transform(F.array(letter_count(s, digit)), lambda n: F.transform(shares, lambda f: at(f, n)))
-        return F.get(bound, F.lit(0))
+        return bind(letter_count(s, digit), lambda n: F.transform(shares, lambda f: at(f, n)))
 
     return F.flatten(F.transform(classes, lambda s: F.concat(*[places(s, d) for d in CLASS_DIGITS])))
 
@@ -182,7 +190,7 @@ dpc = _counted("dpc", DIPEPTIDE, lambda c, n: _shares(c, n - 1))
 dde = _counted("dde", DIPEPTIDE, dde_vector)
 gdpc = _counted("gdpc", GROUP_PAIR, lambda c, n: _shares(c, n - 1))
 gtpc = _counted("gtpc", GROUP_TRIPLE, lambda c, n: _shares(c, n - 2))
-ctriad = _counted("ctriad", TRIAD, lambda c, n: F.transform(c, lambda x: (x - F.array_min(c)) / F.array_max(c)))
+ctriad = _counted("ctriad", TRIAD, lambda c, n: triad_vector(c))
 
 
 def min_length_split(df: DataFrame, length: int = fv.MIN_SIGNATURE_LENGTH, key: str = "id", seq: str = "seq"):
@@ -202,23 +210,22 @@ def seq_signature(df: DataFrame, key: str = "id", seq: str = "seq", with_triads:
     bound = bound.filter(F.length("_entry.q") >= fv.MIN_SIGNATURE_LENGTH)
     base = bound.select("_entry", F.col("_entry.q").alias("_text"))
     counted = kmer_counts(base, kinds, key="_entry", seq="_text")
-    q, c, n = F.col("_entry.q"), F.col("counts"), F.col("len")
+    q, n = F.col("_entry.q"), F.col("len")
     g = spellings(q)["g"]
-    classes = F.col("_classes")
-    cut = {"dpc": F.slice(c, 1, 400), "gdpc": F.slice(c, 401, 25), "gtpc": F.slice(c, 426, 125)}
-    parts = {
-        "aac": aac_vector(q), "dpc": _shares(cut["dpc"], n - 1), "dde": dde_vector(cut["dpc"], n),
-        "gaac": gaac_vector(g), "gdpc": _shares(cut["gdpc"], n - 1), "gtpc": _shares(cut["gtpc"], n - 2),
-        "ctdc": ctdc_vector(classes), "ctdt": ctdt_vector(classes), "ctdd": ctdd_vector(classes),
-    }
-    ordered = [parts[name] for name in fv.SIGNATURE_ORDER]
-    if with_triads:
-        triads = F.slice(c, 551, 343)
-        ordered.append(F.transform(triads, lambda x: (x - F.array_min(triads)) / F.array_max(triads)))
+
+    def assembled(c: Column, classes: Column) -> Column:
+        dipeptides, pairs, triples = F.slice(c, 1, 400), F.slice(c, 401, 25), F.slice(c, 426, 125)
+        parts = {
+            "aac": aac_vector(q), "dpc": _shares(dipeptides, n - 1), "dde": dde_vector(dipeptides, n),
+            "gaac": gaac_vector(g), "gdpc": _shares(pairs, n - 1), "gtpc": _shares(triples, n - 2),
+            "ctdc": ctdc_vector(classes), "ctdt": ctdt_vector(classes), "ctdd": ctdd_vector(classes),
+        }
+        ordered = [parts[name] for name in fv.SIGNATURE_ORDER]
+        return F.concat(*ordered, *([triad_vector(F.slice(c, 551, 343))] if with_triads else []))
+
     width = sum(fv.SIGNATURE_WIDTH[name] for name in fv.SIGNATURE_ORDER) + (343 if with_triads else 0)
-    signed = counted.withColumn("_classes", class_strings(q)).select(
-        F.col("_entry.k").alias(key), F.concat(*ordered).alias("vec")
-    )
+    vector = bind(F.struct(F.col("counts").alias("c"), class_strings(q).alias("k")), lambda b: assembled(b["c"], b["k"]))
+    signed = counted.select(F.col("_entry.k").alias(key), vector.alias("vec"))
     return signed.filter(F.size("vec") == width)
 
 

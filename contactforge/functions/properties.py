@@ -77,7 +77,10 @@ def extinction_cystine(counts: dict[str, Column]) -> Column:
 
 
 def mass(counts: dict[str, Column], n: Column) -> Column:
-    return F.round(weighted(counts, fv.RESIDUE_MASS) - (n - 1) * F.lit(fv.WATER_MASS), 3)
+    """Summed in whole ten-thousandths, the precision of the masses, so that rounding ties are exact."""
+    units = {r: round(m * 10_000) for r, m in fv.RESIDUE_MASS.items()}
+    total = _total(counts[r].cast("long") * F.lit(u) for r, u in units.items()) - (n - 1).cast("long") * F.lit(round(fv.WATER_MASS * 10_000))
+    return F.round(total / 10.0) / 1000.0
 
 
 def hydropathy(counts: dict[str, Column], n: Column) -> Column:

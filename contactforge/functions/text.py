@@ -15,6 +15,11 @@ def stripped_length(seq: Column) -> Column:
     return F.length(seq) - F.length(standard_only(seq))
 
 
+def bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``, which may read it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def literal_map(values: dict) -> Column:
     """A constant lookup table as a map literal: needs no join and no broadcast."""
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])

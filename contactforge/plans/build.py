@@ -9,6 +9,7 @@ from ..functions.properties import physchem_profile
 from ..operators import groups, interfaces, spatial, structure, surface
 from ..operators.features import attach_features, long_to_wide, project_ordered, property_names
 from ..operators.membership import master_semi
+from ..session import staged
 
 
 def modeled_chains(atoms: DataFrame, cutoffs: dict | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -22,10 +23,11 @@ def build_pairs(atoms: DataFrame, cutoffs: dict | None = None, extra: tuple[str,
     """The eight-column pair table.
 
     Peptide atoms are those of sequence residues; every atom of the protein chain counts, ligands included.
+    The first-model atoms and the residues feed several branches, so each is written once.
     """
     c = {**fv.CUTOFFS, **(cutoffs or {})}
-    first = structure.first_model(atoms)
-    residues = structure.polymer_residues(first, extra)
+    first = staged(structure.first_model(atoms))
+    residues = staged(structure.polymer_residues(first, extra))
     chains = structure.chain_role(structure.chain_sequence(residues), c["pep_min"], c["pep_max"], c["prot_min"])
     peptides = chains.filter(F.col("role") == "peptide").select("pdb", "chain")
     proteins = chains.filter(F.col("role") == "protein").select("pdb", "chain")

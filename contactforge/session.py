@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,14 +27,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the reliable checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="contactforge-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only where that is unset (tests)
-    a temporary one is made.
+
+def staged(df: DataFrame) -> DataFrame:
+    """Cut lineage at a table that several branches reuse.
+
+    The rows are written as parquet to the shared folder and read back, so lost executors cost nothing and
+    every later branch keeps column pruning, pushed filters and exact sizes.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="contactforge-"))
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
