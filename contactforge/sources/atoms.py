@@ -15,15 +15,18 @@ def _is_row(line: Column) -> Column:
     return line.startswith("ATOM ") | line.startswith("HETATM")
 
 
-def atom_site_table(spark: SparkSession, folder: str) -> DataFrame:
+FILE_NAME = r"([^/]+?)(\.cif)?(\.gz)?$"
+
+
+def atom_site_table(spark: SparkSession, folder: str, id_pattern: str = FILE_NAME) -> DataFrame:
     """One row per coordinate line of every file below ``folder``.
 
     Files are independent, so the scan needs no shuffle: each task splits its own files into lines, finds the
     column positions in the ``_atom_site.`` header and cuts the block of ``ATOM``/``HETATM`` lines at its first
-    other line. A field the header does not name is null.
+    other line. A field the header does not name is null. ``id_pattern`` takes the structure id from the path.
     """
     files = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.cif)?(\.gz)?$", 1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1)
     lines = files.select(name.alias("pdb"), F.transform(F.split("value", "\r?\n"), lambda s: F.trim(s)).alias("lines"))
     first = F.array_position(F.transform("lines", _is_row), True).cast("int")
     started = lines.withColumn("first", first).filter(F.col("first") > 0)
