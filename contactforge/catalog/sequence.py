@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions import descriptors, properties, text
+from ..functions.text import bind
 from .base import PAIR_SEQ_SQL, SEQ_SQL, Tables, query, sequence_pairs, sequences
 
 
@@ -164,7 +165,8 @@ def _min_length_split(t: Tables):
 
 
 def entries(df: DataFrame, digits: int = 6) -> DataFrame:
-    long = df.select("id", F.posexplode("vec").alias("pos", "value"))
+    # the outer form: for the inner one the optimiser adds a size filter that evaluates the vector twice
+    long = df.select("id", F.posexplode_outer("vec").alias("pos", "value"))
     return long.select("id", "pos", F.round("value", digits).alias("value")).filter(F.col("value") != 0)
 
 
@@ -303,16 +305,18 @@ UNION ALL {_block_sql('ctdd', 'ctdd', 'x')}"""
 
 def signature_blocks(df: DataFrame) -> DataFrame:
     """Per id and descriptor: its non-zero entries and an irrationally weighted sum of all entries."""
-    rows, start = [], 1
-    for name in fv.SIGNATURE_ORDER:
-        width = fv.SIGNATURE_WIDTH[name]
-        part = F.slice("vec", start, width)
-        moment = F.aggregate(F.transform(part, lambda x, i: x * F.sqrt(i + 2)), F.lit(0.0), lambda a, x: a + x)
-        rows.append(F.struct(
-            F.lit(name).alias("part"), F.size(F.filter(part, lambda x: x != 0)).cast("long").alias("nonzero"), F.round(moment, 4).alias("moment")
-        ))
-        start += width
-    return df.select("id", F.inline(F.array(*rows)))
+    def blocks(vector):
+        rows, start = [], 1
+        for name in fv.SIGNATURE_ORDER:
+            width = fv.SIGNATURE_WIDTH[name]
+            part = F.slice(vector, start, width)
+            moment = F.aggregate(F.transform(part, lambda x, i: x * F.sqrt(i + 2)), F.lit(0.0), lambda a, x: a + x)
+            nonzero = F.size(F.filter(part, lambda x: x != 0)).cast("long")
+            rows.append(F.struct(F.lit(name).alias("part"), nonzero.alias("nonzero"), F.round(moment, 4).alias("moment")))
+            start += width
+        return F.array(*rows)
+
+    return df.select("id", F.inline_outer(bind(F.col("vec"), blocks)))
 
 
 @query("seq_signature", SIGNATURE_SQL)

@@ -143,11 +143,11 @@ en AS (SELECT p.id, p.pdb, p.pep_chain, p.prot_chain, c.* EXCLUDE (id), nis_apol
   JOIN nis ON nis.pdb = p.pdb AND nis.chain = p.prot_chain)"""
 
 
-@query("binding_energy", f"WITH {A}, {ENERGY_SQL} SELECT id, round(dg, 6) AS dg, round(dg / {KT!r}::DOUBLE, 6) AS ln_kd FROM en")
+@query("binding_energy", f"WITH {A}, {ENERGY_SQL} SELECT id, round(dg, 8) AS dg, round(dg / {KT!r}::DOUBLE, 6) AS ln_kd FROM en")
 def _binding_energy(t: Tables):
     counts = spatial.contact_class_counts(chain_pairs(t), atoms(t)).join(_shares(t), "id")
     out = energy.binding_energy(counts)
-    return out.select("id", F.round("dg", 6).alias("dg"), F.round(F.ln("kd"), 6).alias("ln_kd"))
+    return out.select("id", F.round("dg", 8).alias("dg"), F.round(F.ln("kd"), 6).alias("ln_kd"))
 
 
 @query("multi_energy", f"""WITH {A}, {ENERGY_SQL}
@@ -166,7 +166,7 @@ def _multi_energy(t: Tables):
 
 # ---- surfaces ---------------------------------------------------------------------------------------
 
-DENSE = 0.1
+DENSE = 0.15
 POINTS = 60
 SPHERE_SQL = f"""sphere AS (SELECT i, sqrt(1 - z * z) * cos(turn) AS ux, sqrt(1 - z * z) * sin(turn) AS uy, z AS uz FROM (
   SELECT i, 1.0::DOUBLE - (2.0::DOUBLE * i + 1.0::DOUBLE) / {POINTS} AS z, i * (pi() * (3.0::DOUBLE - sqrt(5.0::DOUBLE))) AS turn FROM range({POINTS}) r(i)) s)"""

@@ -1,55 +1,35 @@
 """Sequence descriptors: k-mer frequencies, codon deviations, class composition/transition/distribution.
 
-K-mers are cut by the regular-expression engine inside the JVM (one pass per phase), counted by a hash
-aggregate and laid out as dense arrays. Sequences are hash-partitioned by their key once, before the
-explode; both aggregates reuse that partitioning, so exploded k-mers never cross the network. The class
-descriptors need no explode at all: they are string arithmetic inside one row.
+All descriptors are narrow: counting happens inside each sequence (see ``vectorised``) and the rest is
+column arithmetic, so a signature of the whole table needs no shuffle.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from .properties import letter_count
 from .text import bind, standard_only
+from .vectorised import class_profiler, kmer_counter
 
-GROUP_DIGITS = "12345"
-TRIAD_LETTERS = "abcdefg"
-# (label, alphabet, k): the alphabets do not share letters, so one explode can carry several k-mer kinds
-DIPEPTIDE = ("q", fv.RESIDUES, 2)
-GROUP_PAIR = ("g", GROUP_DIGITS, 2)
-GROUP_TRIPLE = ("g", GROUP_DIGITS, 3)
-TRIAD = ("t", TRIAD_LETTERS, 3)
-
-
-def _translated(seq: Column, groups, letters: str) -> Column:
-    source = "".join(groups)
-    target = "".join(letter * len(group) for letter, group in zip(letters, groups))
-    return F.translate(seq, source, target)
-
-
-def spellings(seq: Column) -> dict[str, Column]:
-    """The cleaned sequence and its two reduced-alphabet spellings."""
-    q = standard_only(seq)
-    return {
-        "q": q,
-        "g": _translated(q, list(fv.FIVE_GROUPS.values()), GROUP_DIGITS),
-        "t": _translated(q, fv.SEVEN_GROUPS, TRIAD_LETTERS),
-    }
+FIVE = list(fv.FIVE_GROUPS.values())
+DIPEPTIDE, GROUP_PAIR, GROUP_TRIPLE, TRIAD = (list(fv.RESIDUES), 2), (FIVE, 2), (FIVE, 3), (fv.SEVEN_GROUPS, 3)
+SWITCHES = 3 * len(fv.THREE_CLASSES)
+PLACES = 15 * len(fv.THREE_CLASSES)
 
 
 def kmer_array(seq: Column, k: int) -> Column:
-    """All overlapping k-mers, phase by phase (their order along the sequence is not kept)."""
+    """All overlapping k-mers as text, phase by phase (their order along the sequence is not kept)."""
     phases = [F.regexp_extract_all(F.substring(seq, j + 1, 2**31 - 1), F.lit("." * k), F.lit(0)) for j in range(k)]
     return phases[0] if k == 1 else F.concat(*phases)
 
 
-def kmer_index(kmer: Column, alphabet: str, k: int) -> Column:
+def kmer_rank(kmer: Column, alphabet: str, k: int) -> Column:
     """Rank of a k-mer in the alphabet's k-fold product, first letter slowest."""
-    digits = [F.position(F.substring(kmer, j + 1, 1), F.lit(alphabet)) - 1 for j in range(k)]
-    return reduce(lambda rank, digit: rank * len(alphabet) + digit, digits)
+    rank = F.lit(0)
+    for j in range(k):
+        rank = rank * len(alphabet) + F.position(F.substring(kmer, j + 1, 1), F.lit(alphabet)) - 1
+    return rank
 
 
 def dense(sparse: Column, width: int) -> Column:
@@ -64,36 +44,43 @@ def dense(sparse: Column, width: int) -> Column:
     return F.flatten(F.concat(F.transform(sparse, with_gap), F.array(tail)))
 
 
-def kmer_counts(df: DataFrame, kinds: list[tuple], key: str = "id", seq: str = "seq") -> DataFrame:
-    """``DF[key, len, counts]``: one dense count array holding every requested kind in turn."""
-    base = df.select(F.col(key).alias("_key"), *[c.alias(f"_{n}") for n, c in spellings(F.col(seq)).items()])
-    kmers = base.repartition("_key").select(
-        "_key", F.length("_q").alias("_len"),
-        F.explode(F.concat(*[kmer_array(F.col(f"_{label}"), k) for label, _, k in kinds])).alias("_kmer"),
-    )
-    counted = kmers.groupBy("_key", "_len", "_kmer").agg(F.count("*").alias("n"))
-    rank, offset = F.lit(None).cast("int"), 0
-    for _, alphabet, k in kinds:
-        here = (F.length("_kmer") == k) & (F.position(F.substring("_kmer", 1, 1), F.lit(alphabet)) > 0)
-        rank = F.when(here, kmer_index(F.col("_kmer"), alphabet, k) + offset).otherwise(rank)
-        offset += len(alphabet) ** k
-    ranked = counted.groupBy("_key", "_len").agg(F.array_sort(F.collect_list(F.struct(rank.alias("i"), "n"))).alias("_s"))
-    return ranked.select(F.col("_key").alias(key), F.col("_len").alias("len"), dense(F.col("_s"), offset).alias("counts"))
+# ---- vector expressions --------------------------------------------------------------------------
+
+
+def _with(counts: Column, n: Column, use) -> Column:
+    """Hand counts and a length to ``use``, each evaluated once.
+
+    The optimiser inlines columns into lambdas, where a text length would be measured again for every
+    element; a bound variable cannot be inlined.
+    """
+    return bind(F.struct(counts.alias("c"), n.alias("n")), lambda b: use(b["c"], b["n"]))
 
 
 def _shares(counts: Column, total: Column) -> Column:
-    return F.transform(counts, lambda n: n / total)
+    return _with(counts, total, lambda c, n: F.transform(c, lambda x: x / n))
 
 
-# ---- vector expressions --------------------------------------------------------------------------
+def _group_shares(q: Column, groups) -> list[Column]:
+    """Share of each residue group, summed from letter counts."""
+    return [sum((letter_count(q, r) for r in group), F.lit(0)) / F.length(q) for group in groups]
 
 
 def aac_vector(q: Column) -> Column:
-    return F.array(*[letter_count(q, r) / F.length(q) for r in fv.RESIDUES])
+    return F.array(*_group_shares(q, fv.RESIDUES))
+
+
+def gaac_vector(q: Column) -> Column:
+    return F.array(*_group_shares(q, FIVE))
+
+
+def ctdc_vector(q: Column) -> Column:
+    """Share of each class of each property, from the twenty letter shares."""
+    members = [[fv.RESIDUES.index(r) for r in group] for groups in fv.THREE_CLASSES.values() for group in groups]
 
+    def classes(c: Column, n: Column) -> Column:
+        return F.transform(F.lit(members), lambda rs: F.aggregate(rs, F.lit(0), lambda a, r: a + F.get(c, r)) / n)
 
-def gaac_vector(g: Column) -> Column:
-    return F.array(*[letter_count(g, d) / F.length(g) for d in GROUP_DIGITS])
+    return _with(F.array(*[letter_count(q, r) for r in fv.RESIDUES]), F.length(q), classes)
 
 
 def dde_vector(dipeptides: Column, n: Column) -> Column:
@@ -101,9 +88,12 @@ def dde_vector(dipeptides: Column, n: Column) -> Column:
     means = [
         (fv.CODONS[a] / fv.CODON_TOTAL) * (fv.CODONS[b] / fv.CODON_TOTAL) for a in fv.RESIDUES for b in fv.RESIDUES
     ]
-    return F.zip_with(
-        dipeptides, F.lit(means), lambda c, mean: (c / (n - 1) - mean) / F.sqrt(mean * (1.0 - mean) / (n - 1))
-    )
+    def deviations(counts: Column, steps: Column) -> Column:
+        return F.zip_with(
+            counts, F.lit(means), lambda c, mean: (c / steps - mean) / F.sqrt(mean * (1.0 - mean) / steps)
+        )
+
+    return _with(dipeptides, n - 1, deviations)
 
 
 def triad_vector(counts: Column) -> Column:
@@ -115,82 +105,40 @@ def triad_vector(counts: Column) -> Column:
     return bind(counts, scaled)
 
 
-def class_strings(q: Column) -> Column:
-    """Thirteen spellings of the sequence, one per property, over the class digits 1-3."""
-    return F.array(*[_translated(q, groups, "123") for groups in fv.THREE_CLASSES.values()])
-
-
-CLASS_DIGITS = ("1", "2", "3")
-
-
-def ctdc_vector(classes: Column) -> Column:
-    def shares(s: Column) -> Column:
-        return F.array(*[letter_count(s, d) / F.length(s) for d in CLASS_DIGITS])
-
-    return F.flatten(F.transform(classes, shares))
-
-
-def ctdt_vector(classes: Column) -> Column:
-    """Share of adjacent places that switch between two classes (two unlike letters cannot overlap)."""
-
-    def switches(s: Column, a: str, b: str) -> Column:
-        lost = sum((F.length(s) - F.length(F.replace(s, F.lit(x), F.lit(""))) for x in (a + b, b + a)), F.lit(0))
-        return (lost / 2) / (F.length(s) - 1)
-
-    return F.flatten(
-        F.transform(classes, lambda s: F.array(switches(s, "1", "2"), switches(s, "1", "3"), switches(s, "2", "3")))
-    )
-
-
-def ctdd_vector(classes: Column) -> Column:
-    """Where the first, 25 %, 50 %, 75 % and last member of each class sits, in percent of the length."""
-
-    def places(s: Column, digit: str) -> Column:
-        def at(share: Column, n: Column) -> Column:
-            nth = F.greatest(F.lit(1), F.floor(share * n).cast("int"))
-            return F.when(n == 0, F.lit(0.0)).otherwise(
-                (F.length(F.call_function("substring_index", s, F.lit(digit), nth)) + 1) / F.length(s) * 100.0
-            )
-
-        shares = F.lit([0.0, 0.25, 0.5, 0.75, 1.0])
-        return bind(letter_count(s, digit), lambda n: F.transform(shares, lambda f: at(f, n)))
-
-    return F.flatten(F.transform(classes, lambda s: F.concat(*[places(s, d) for d in CLASS_DIGITS])))
-
-
 # ---- DataFrame operators: DF[id, seq] -> DF[id, vec] -----------------------------------------------
 
 
-def _narrow(name: str, vector):
-    def operator(df: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
-        base = df.select(key, *[c.alias(f"_{n}") for n, c in spellings(F.col(seq)).items()])
-        return base.filter(F.length("_q") >= fv.MIN_SIGNATURE_LENGTH).select(key, vector().alias("vec"))
-
-    operator.__name__ = name
-    return operator
-
+def _cleaned(df: DataFrame, key: str, seq: str, length: int = fv.MIN_SIGNATURE_LENGTH) -> DataFrame:
+    cleaned = df.select(key, standard_only(F.col(seq)).alias("_q")).withColumn("_len", F.length("_q"))
+    return cleaned.filter(F.col("_len") >= length)
 
-aac = _narrow("aac", lambda: aac_vector(F.col("_q")))
-gaac = _narrow("gaac", lambda: gaac_vector(F.col("_g")))
-ctdc = _narrow("ctdc", lambda: ctdc_vector(class_strings(F.col("_q"))))
-ctdt = _narrow("ctdt", lambda: ctdt_vector(class_strings(F.col("_q"))))
-ctdd = _narrow("ctdd", lambda: ctdd_vector(class_strings(F.col("_q"))))
 
+def _operator(name: str, vector, kinds: list[tuple] | None = None, profile: bool = False):
+    """``vector(q, n, counts, profile)`` builds the vector of one cleaned sequence."""
 
-def _counted(name: str, kind: tuple, vector):
     def operator(df: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
-        counts = kmer_counts(df, [kind], key, seq).filter(F.col("len") >= fv.MIN_SIGNATURE_LENGTH)
-        return counts.select(key, vector(F.col("counts"), F.col("len")).alias("vec"))
+        base = _cleaned(df, key, seq)
+        if kinds:
+            base = base.withColumn("_counts", kmer_counter(kinds)("_q"))
+        if profile:
+            base = base.withColumn("_profile", class_profiler()("_q"))
+        cell = vector(F.col("_q"), F.col("_len"), F.col("_counts"), F.col("_profile"))
+        return base.select(key, cell.alias("vec"))
 
     operator.__name__ = name
     return operator
 
 
-dpc = _counted("dpc", DIPEPTIDE, lambda c, n: _shares(c, n - 1))
-dde = _counted("dde", DIPEPTIDE, dde_vector)
-gdpc = _counted("gdpc", GROUP_PAIR, lambda c, n: _shares(c, n - 1))
-gtpc = _counted("gtpc", GROUP_TRIPLE, lambda c, n: _shares(c, n - 2))
-ctriad = _counted("ctriad", TRIAD, lambda c, n: triad_vector(c))
+aac = _operator("aac", lambda q, n, c, p: aac_vector(q))
+gaac = _operator("gaac", lambda q, n, c, p: gaac_vector(q))
+dpc = _operator("dpc", lambda q, n, c, p: _shares(c, n - 1), [DIPEPTIDE])
+dde = _operator("dde", lambda q, n, c, p: dde_vector(c, n), [DIPEPTIDE])
+gdpc = _operator("gdpc", lambda q, n, c, p: _shares(c, n - 1), [GROUP_PAIR])
+gtpc = _operator("gtpc", lambda q, n, c, p: _shares(c, n - 2), [GROUP_TRIPLE])
+ctriad = _operator("ctriad", lambda q, n, c, p: triad_vector(c), [TRIAD])
+ctdc = _operator("ctdc", lambda q, n, c, p: ctdc_vector(q))
+ctdt = _operator("ctdt", lambda q, n, c, p: F.slice(p, 1, SWITCHES), profile=True)
+ctdd = _operator("ctdd", lambda q, n, c, p: F.slice(p, SWITCHES + 1, PLACES), profile=True)
 
 
 def min_length_split(df: DataFrame, length: int = fv.MIN_SIGNATURE_LENGTH, key: str = "id", seq: str = "seq"):
@@ -203,30 +151,20 @@ def min_length_split(df: DataFrame, length: int = fv.MIN_SIGNATURE_LENGTH, key:
 def seq_signature(df: DataFrame, key: str = "id", seq: str = "seq", with_triads: bool = False) -> DataFrame:
     """The nine descriptors in fixed order as one 1248-wide vector (1591 with triads).
 
-    One explode carries every k-mer kind, so the whole signature costs a single shuffle of the sequences.
+    Every part has a fixed width, so a row that passes the length rule is complete by construction.
     """
     kinds = [DIPEPTIDE, GROUP_PAIR, GROUP_TRIPLE] + ([TRIAD] if with_triads else [])
-    bound = df.select(F.struct(F.col(key).alias("k"), standard_only(F.col(seq)).alias("q")).alias("_entry"))
-    bound = bound.filter(F.length("_entry.q") >= fv.MIN_SIGNATURE_LENGTH)
-    base = bound.select("_entry", F.col("_entry.q").alias("_text"))
-    counted = kmer_counts(base, kinds, key="_entry", seq="_text")
-    q, n = F.col("_entry.q"), F.col("len")
-    g = spellings(q)["g"]
-
-    def assembled(c: Column, classes: Column) -> Column:
-        dipeptides, pairs, triples = F.slice(c, 1, 400), F.slice(c, 401, 25), F.slice(c, 426, 125)
-        parts = {
-            "aac": aac_vector(q), "dpc": _shares(dipeptides, n - 1), "dde": dde_vector(dipeptides, n),
-            "gaac": gaac_vector(g), "gdpc": _shares(pairs, n - 1), "gtpc": _shares(triples, n - 2),
-            "ctdc": ctdc_vector(classes), "ctdt": ctdt_vector(classes), "ctdd": ctdd_vector(classes),
-        }
-        ordered = [parts[name] for name in fv.SIGNATURE_ORDER]
-        return F.concat(*ordered, *([triad_vector(F.slice(c, 551, 343))] if with_triads else []))
-
-    width = sum(fv.SIGNATURE_WIDTH[name] for name in fv.SIGNATURE_ORDER) + (343 if with_triads else 0)
-    vector = bind(F.struct(F.col("counts").alias("c"), class_strings(q).alias("k")), lambda b: assembled(b["c"], b["k"]))
-    signed = counted.select(F.col("_entry.k").alias(key), vector.alias("vec"))
-    return signed.filter(F.size("vec") == width)
+    base = _cleaned(df, key, seq).withColumns({"_counts": kmer_counter(kinds)("_q"), "_profile": class_profiler()("_q")})
+    q, n, counts, profile = F.col("_q"), F.col("_len"), F.col("_counts"), F.col("_profile")
+    dipeptides, pairs, triples = F.slice(counts, 1, 400), F.slice(counts, 401, 25), F.slice(counts, 426, 125)
+    parts = {
+        "aac": aac_vector(q), "dpc": _shares(dipeptides, n - 1), "dde": dde_vector(dipeptides, n),
+        "gaac": gaac_vector(q), "gdpc": _shares(pairs, n - 1), "gtpc": _shares(triples, n - 2),
+        "ctdc": ctdc_vector(q), "ctdt": F.slice(profile, 1, SWITCHES), "ctdd": F.slice(profile, SWITCHES + 1, PLACES),
+    }
+    cells = [parts[name] for name in fv.SIGNATURE_ORDER]
+    cells += [triad_vector(F.slice(counts, 551, 343))] if with_triads else []
+    return base.select(key, F.concat(*cells).alias("vec"))
 
 
 def distinct_featurise(df: DataFrame, build, key: str = "id", seq: str = "seq") -> DataFrame:
@@ -245,26 +183,17 @@ def distinct_featurise(df: DataFrame, build, key: str = "id", seq: str = "seq")
 def instability_index(df: DataFrame, weights: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
     """Ten over the length times the summed weight of every dipeptide.
 
-    ``weights`` is ``DF[kmer, weight]``; after the residue filter it can hold 400 rows at most, which is
-    the bound that lets it be broadcast.
+    ``weights`` is the published table ``DF[kmer, weight]``. After the residue filter it holds 400 rows at
+    most, so it becomes one dense row that a scalar subquery hands to every task.
     """
-    table = weights.filter(F.col("kmer").rlike(f"^[{fv.RESIDUES}]{{2}}$")).dropDuplicates(["kmer"])
-    base = df.select(F.col(key).alias("_key"), standard_only(F.col(seq)).alias("_q")).filter(F.length("_q") > 0)
-    kmers = base.repartition("_key").select(
-        "_key", F.length("_q").alias("_len"), F.explode_outer(kmer_array(F.col("_q"), 2)).alias("kmer")
-    )
-    counted = kmers.groupBy("_key", "_len", "kmer").agg(F.count("*").alias("_n"))
-    weighed = counted.join(F.broadcast(table.select("kmer", "weight")), "kmer", "left")
-    total = F.coalesce(F.sum(F.col("_n") * F.col("weight")), F.lit(0.0))
-    return weighed.groupBy("_key", "_len").agg(total.alias("_w")).select(
-        F.col("_key").alias(key), F.round(F.col("_w") * 10.0 / F.col("_len"), 3).alias("Instability")
-    )
+    known = weights.filter(F.col("kmer").rlike(f"^[{fv.RESIDUES}]{{2}}$")).dropDuplicates(["kmer"])
+    ranked = known.select(kmer_rank(F.col("kmer"), fv.RESIDUES, 2).alias("i"), F.col("weight").alias("n"))
+    row = ranked.agg(F.array_sort(F.collect_list(F.struct("i", "n"))).alias("s")).select(dense(F.col("s"), 400).alias("w")).scalar()
+    base = _cleaned(df, key, seq, 1).withColumn("_w", row).withColumn("_counts", kmer_counter([DIPEPTIDE])("_q"))
+    total = F.aggregate(F.zip_with("_counts", "_w", lambda n, w: n * w), F.lit(0.0), lambda a, x: a + x)
+    return base.select(key, F.round(total * 10.0 / F.col("_len"), 3).alias("Instability"))
 
 
 def signature_names() -> list[str]:
     """Column names of the 1248 positions, ``DESCRIPTOR_position``."""
     return [f"{name.upper()}_{i}" for name in fv.SIGNATURE_ORDER for i in range(fv.SIGNATURE_WIDTH[name])]
-
-
-def rounded(vector: Column, digits: int = 6) -> Column:
-    return F.transform(vector, lambda x: F.round(x, digits))

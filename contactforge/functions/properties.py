@@ -203,12 +203,10 @@ def physchem_profile(pairs: DataFrame, weights: DataFrame | None = None) -> Data
             F.struct(F.lit("protein").alias("chain_type"), F.col("prot_seq").alias("_seq")),
         )),
     )
-    profile = sequence_profile(chains, "_seq", ["id", "chain_type"])
     if weights is None:
-        profile = profile.withColumn("Instability", F.lit(None).cast("double"))
+        profile = sequence_profile(chains, "_seq", ["id", "chain_type"]).withColumn("Instability", F.lit(None).cast("double"))
     else:
-        scored = instability_index(
-            chains.select(F.struct("id", "chain_type").alias("key"), F.col("_seq").alias("seq")), weights, key="key"
-        ).select("key.id", "key.chain_type", "Instability")
-        profile = profile.join(scored, ["id", "chain_type"], "left")
+        keyed = chains.withColumn("_chain", F.struct("id", "chain_type", "_seq"))
+        scored = instability_index(keyed, weights, key="_chain", seq="_seq")
+        profile = sequence_profile(scored.select("_chain.*", "Instability"), "_seq", ["id", "chain_type", "Instability"])
     return profile.select("id", "chain_type", *PROFILE_COLUMNS)

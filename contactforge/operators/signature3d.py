@@ -26,7 +26,7 @@ def struct_signature(
     right = _neighbours(placed.withColumnsRenamed({c: f"r_{c}" for c in ("pos", "cls", *AXES)})).drop("_ox", "_oy", "_oz")
     on = [key, *CELL]
     sizes = left.groupBy(*on).agg(F.count("*").alias("_n"))
-    pairs = salted_join(left, right, on, sizes, ["l_pos"]).filter(F.col("l_pos") < F.col("r_pos"))
+    pairs = salted_join(left, right, on, sizes, ["l_pos"], heavy=True).filter(F.col("l_pos") < F.col("r_pos"))
     pairs = pairs.withColumn("_d", F.sqrt(squared_distance())).filter(F.col("_d") <= F.lit(float(limit)))
     low, high = F.least("l_cls", "r_cls"), F.greatest("l_cls", "r_cls")
     pair = (low * classes - (low * (low - 1) / 2).cast("int") + (high - low)).cast("int")

@@ -21,16 +21,24 @@ def hot_keys(sizes: DataFrame, on: list[str], count: str = "_n", floor: int = HO
 
 def salted_join(
     rows: DataFrame, other: DataFrame, on: list[str], sizes: DataFrame, row_id: list[str],
-    how: str = "inner", count: str = "_n", floor: int = HOT_FLOOR, salts: int | None = None,
+    how: str = "inner", count: str = "_n", floor: int = HOT_FLOOR, salts: int | None = None, heavy: bool = False,
 ) -> DataFrame:
-    """Join ``rows`` to ``other``; ``sizes`` is ``DF[on, count]`` of the rows per key."""
-    spread = salts or max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Join ``rows`` to ``other``; ``sizes`` is ``DF[on, count]`` of the rows per key.
+
+    ``heavy`` marks joins whose work grows far beyond their input bytes: both sides are then partitioned by
+    number, so that a runtime that sizes partitions by bytes does not fold them into a few tasks.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = salts or max(8, partitions)
     hot = F.broadcast(hot_keys(sizes, on, count, floor).withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*row_id), F.lit(spread)).cast("int")).otherwise(0)
     left = rows.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
     right = other.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, on + ["_salt"], how).drop("_salt")
+    keys = on + ["_salt"]
+    if heavy:
+        left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
+    return left.join(right, keys, how).drop("_salt")
 
 
 def attach_group(rows: DataFrame, sizes: DataFrame, table: DataFrame, key: str, row_id: str) -> DataFrame:

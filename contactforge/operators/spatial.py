@@ -199,7 +199,7 @@ def _contact_rows(first: DataFrame, second: DataFrame, rules: list[tuple], allow
     left, right = _neighbours(side(first, "l_", classes1)), side(second, "r_", classes2)
     sizes = right.groupBy(*fields).agg(F.count("*").alias("_n"))
     row_id = [f"r_{c}" for c in ("chain", "resseq", *AXES)]
-    pairs = salted_join(right, left, fields, sizes, row_id).filter(allow)
+    pairs = salted_join(right, left, fields, sizes, row_id, heavy=True).filter(allow)
     pairs = pairs.withColumn("distance", F.sqrt(squared_distance())).filter(F.col("distance") <= F.lit(float(radius)))
     table = F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"),
