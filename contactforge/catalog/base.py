@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import table
+from ..session import balanced, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
+    def spread(self, name: str) -> DataFrame:
+        """The table for work that costs far more than its bytes, on all cores even if it is one small file."""
+        return balanced(getattr(self, name))
+
 
 def query(name: str, sql: str | None = None):
     """Register ``f(tables) -> DataFrame`` under an operator name, with its SQL twin."""
@@ -43,7 +47,7 @@ def query(name: str, sql: str | None = None):
 
 def sequences(t: Tables) -> DataFrame:
     letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
-    return t.documents.select(F.col("doc_id").alias("id"), letters.alias("seq"))
+    return t.spread("documents").select(F.col("doc_id").alias("id"), letters.alias("seq"))
 
 
 SEQ_SQL = """seqs AS (
@@ -53,7 +57,7 @@ q AS (SELECT id, seq, regexp_replace(seq, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') AS
 
 def sequence_pairs(t: Tables) -> DataFrame:
     """Text as the peptide, page letters of the same number (or nothing) as the protein."""
-    page = t.pages.select(F.col("page_id").alias("id"), F.upper(F.regexp_replace("html", "[^A-Za-z]", "")).alias("prot_seq"))
+    page = t.spread("pages").select(F.col("page_id").alias("id"), F.upper(F.regexp_replace("html", "[^A-Za-z]", "")).alias("prot_seq"))
     pairs = sequences(t).withColumnRenamed("seq", "pep_seq").join(page, "id", "left")
     return pairs.withColumn("prot_seq", F.coalesce("prot_seq", F.lit("")))
 
@@ -123,23 +127,26 @@ def atoms_sql(scale: float = 1.0) -> str:
   FROM lineitem)"""
 
 
-SHORT = F.col("chain").startswith("A") | F.col("chain").startswith("B")
+def is_short():
+    return F.col("chain").startswith("A") | F.col("chain").startswith("B")
+
+
 SHORT_SQL = "(chain LIKE 'A%' OR chain LIKE 'B%')"
 
 
 def short_atoms(t: Tables, scale: float = 1.0) -> DataFrame:
-    return atoms(t, scale).filter(SHORT)
+    return atoms(t, scale).filter(is_short())
 
 
 def long_atoms(t: Tables, scale: float = 1.0) -> DataFrame:
-    return atoms(t, scale).filter(~SHORT)
+    return atoms(t, scale).filter(~is_short())
 
 
 def chain_pairs(t: Tables) -> DataFrame:
     """Every short chain with every long chain of its structure: at most 4 x 5 per structure."""
     chains = atoms(t).select("pdb", "chain").distinct()
     sides = chains.groupBy("pdb").agg(
-        F.collect_list(F.when(SHORT, F.col("chain"))).alias("s"), F.collect_list(F.when(~SHORT, F.col("chain"))).alias("l")
+        F.collect_list(F.when(is_short(), F.col("chain"))).alias("s"), F.collect_list(F.when(~is_short(), F.col("chain"))).alias("l")
     )
     pairs = sides.select("pdb", F.explode("s").alias("pep_chain"), "l").select("pdb", "pep_chain", F.explode("l").alias("prot_chain"))
     return pairs.withColumn("id", F.concat_ws("-", "pdb", "pep_chain", "prot_chain"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
+from ..session import staged
 from .properties import letter_count
 from .text import bind, standard_only
 from .vectorised import class_profiler, kmer_counter
@@ -175,7 +176,7 @@ def distinct_featurise(df: DataFrame, build, key: str = "id", seq: str = "seq")
     from ..operators.skew import attach_group
 
     keyed = df.select(F.col(key), standard_only(F.col(seq)).alias("seq")).withColumn("_digest", F.sha2("seq", 256))
-    distinct = keyed.groupBy("_digest").agg(F.first("seq").alias("seq"), F.count("*").alias("_n"))
+    distinct = staged(keyed.groupBy("_digest").agg(F.first("seq").alias("seq"), F.count("*").alias("_n")))
     vectors = build(distinct.select(F.col("_digest").alias("id"), "seq")).withColumnRenamed("id", "_digest")
     return attach_group(keyed.select(key, "_digest"), distinct.select("_digest", "_n"), vectors, "_digest", key).select(key, "vec")
 

@@ -80,11 +80,11 @@ def mass(counts: dict[str, Column], n: Column) -> Column:
     """Summed in whole ten-thousandths, the precision of the masses, so that rounding ties are exact."""
     units = {r: round(m * 10_000) for r, m in fv.RESIDUE_MASS.items()}
     total = _total(counts[r].cast("long") * F.lit(u) for r, u in units.items()) - (n - 1).cast("long") * F.lit(round(fv.WATER_MASS * 10_000))
-    return F.round(total / 10.0) / 1000.0
+    return F.when(n > 0, F.round(total / 10.0) / 1000.0)
 
 
 def hydropathy(counts: dict[str, Column], n: Column) -> Column:
-    return F.round(weighted(counts, fv.HYDROPATHY) / n, 3)
+    return F.when(n > 0, F.round(weighted(counts, fv.HYDROPATHY) / n, 3))
 
 
 def isoelectric(counts: dict[str, Column], seq: Column) -> Column:
@@ -163,8 +163,8 @@ gravy = _single("gravy", lambda c, n: {"GRAVY": hydropathy(c, n)})
 
 
 def isoelectric_point(df: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
-    base, counts, _ = _profiled(df, seq)
-    return base.select(key, isoelectric(counts, F.col("_q")).alias("pI"))
+    base, counts, n = _profiled(df, seq)
+    return base.select(key, F.when(n > 0, isoelectric(counts, F.col("_q"))).alias("pI"))
 
 
 PROFILE_COLUMNS = [

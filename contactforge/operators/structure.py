@@ -15,8 +15,9 @@ def is_amino(name, extra: tuple[str, ...] = ()):
 
 def first_model(atoms: DataFrame) -> DataFrame:
     """Rows of the lowest-numbered model of each structure."""
-    first = atoms.groupBy("pdb").agg(F.min("model").alias("_first"), F.count("*").alias("_n"))
-    joined = salted_join(atoms, first.select("pdb", "_first"), ["pdb"], first.select("pdb", "_n"), ["x", "y", "z"])
+    first = atoms.groupBy("pdb").agg(F.min("model").alias("_first"))
+    sizes = atoms.groupBy("pdb").agg(F.count("*").alias("_n"))
+    joined = salted_join(atoms, first, ["pdb"], sizes, ["x", "y", "z"])
     return joined.filter(F.col("model") == F.col("_first")).drop("_first")
 
 
@@ -28,17 +29,13 @@ def polymer_residues(atoms: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame
     one without any polymer row.
     """
     numeric = F.col("label_seq").isNotNull() & ~F.col("label_seq").isin(".", "?")
-    residues = atoms.groupBy("pdb", "chain", "resseq", "icode", "resname").agg(
-        F.max(numeric).alias("_numeric"), F.max(F.col("label_seq").isNull()).alias("_bad")
-    )
+    residues = atoms.groupBy("pdb", "chain", "resseq", "icode", "resname").agg(F.max(numeric).alias("_numeric"))
     number = Window.partitionBy("pdb", "chain", "resseq")
     residues = residues.withColumn("_poly", F.max("_numeric").over(number))
-    state = residues.groupBy("pdb").agg(
-        (F.max("_bad") | ~F.max("_numeric")).alias("_fallback"), F.count("*").alias("_n")
-    )
-    joined = salted_join(
-        residues, state.select("pdb", "_fallback"), ["pdb"], state.select("pdb", "_n"), ["chain", "resseq"]
-    )
+    # per structure, straight from the narrow atom columns with map-side aggregation
+    state = atoms.groupBy("pdb").agg((F.max(F.col("label_seq").isNull()) | ~F.max(numeric)).alias("_fallback"))
+    sizes = atoms.groupBy("pdb").agg(F.count("*").alias("_n"))
+    joined = salted_join(residues, state, ["pdb"], sizes, ["chain", "resseq"])
     kept = F.when(F.col("_fallback"), is_amino(F.col("resname"), extra)).otherwise(F.col("_poly"))
     return joined.filter(kept).select("pdb", "chain", "resseq", "icode", "resname")
 

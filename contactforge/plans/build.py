@@ -23,12 +23,12 @@ def build_pairs(atoms: DataFrame, cutoffs: dict | None = None, extra: tuple[str,
     """The eight-column pair table.
 
     Peptide atoms are those of sequence residues; every atom of the protein chain counts, ligands included.
-    The first-model atoms and the residues feed several branches, so each is written once.
+    The first-model atoms, the residues and the chains feed several branches, so each is written once.
     """
     c = {**fv.CUTOFFS, **(cutoffs or {})}
     first = staged(structure.first_model(atoms))
     residues = staged(structure.polymer_residues(first, extra))
-    chains = structure.chain_role(structure.chain_sequence(residues), c["pep_min"], c["pep_max"], c["prot_min"])
+    chains = staged(structure.chain_role(structure.chain_sequence(residues), c["pep_min"], c["pep_max"], c["prot_min"]))
     peptides = chains.filter(F.col("role") == "peptide").select("pdb", "chain")
     proteins = chains.filter(F.col("role") == "protein").select("pdb", "chain")
     numbers = residues.select("pdb", "chain", "resseq").distinct()

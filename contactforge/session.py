@@ -27,6 +27,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def balanced(scan: DataFrame) -> DataFrame:
+    """Spread a table *scan* that arrives in fewer pieces than there are cores.
+
+    Only a small input can be in that position, so only small inputs are ever shuffled here; a large table
+    already has more splits than cores and passes through untouched.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
