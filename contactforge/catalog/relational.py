@@ -696,12 +696,18 @@ def _entry_key(t: Tables):
     return parts.groupBy("id", "pdb", "pep_chain", "prot_chain", text.structure_shard(F.col("pdb")).alias("structure_shard"), text.entry_shard(F.col("id")).alias("entry_shard")).agg(F.count("*").alias("n"))
 
 
-@query("param_signature", """SELECT o_orderpriority, o_orderstatus, substr(sha1('3|cutoff=' || o_orderstatus || '|ph=' || o_orderpriority), 1, 12) AS signature,
-  substr(sha1(array_to_string(list_sort(list(o_orderkey::VARCHAR)), ',')), 1, 16) AS content FROM orders GROUP BY 1, 2""")
+@query("param_signature", """SELECT o_orderkey AS id, substr(sha1('3|cutoff=' || o_orderstatus || '|ph=' || o_orderpriority), 1, 12) AS signature FROM orders""")
 def _param_signature(t: Tables):
     settings = F.array(F.concat(F.lit("ph="), "o_orderpriority"), F.concat(F.lit("cutoff="), "o_orderstatus"))
-    keys = t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.collect_list(F.col("o_orderkey").cast("string")).alias("_ids"))
-    return keys.select("o_orderpriority", "o_orderstatus", text.param_signature("3", settings).alias("signature"), text.content_key(F.col("_ids")).alias("content"))
+    return t.orders.select(F.col("o_orderkey").alias("id"), text.param_signature("3", settings).alias("signature"))
+
+
+@query("content_key", """SELECT o_orderkey // 500 AS chunk, substr(sha1(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR)), 1, 16) AS content
+FROM orders GROUP BY 1""")
+def _content_key(t: Tables):
+    # a chunk covers 500 consecutive keys, so it never collects more than 500 ids
+    chunks = t.orders.groupBy(F.floor(F.col("o_orderkey") / 500).alias("chunk")).agg(F.collect_list(F.col("o_orderkey").cast("string")).alias("ids"))
+    return chunks.select("chunk", text.content_key(F.col("ids")).alias("content"))
 
 
 @query("format_date", """SELECT o_orderkey AS id, strftime(o_orderdate, '%b ') || day(o_orderdate)::VARCHAR || strftime(o_orderdate, ', %Y') AS day FROM orders""")

@@ -20,10 +20,10 @@ def attach_features(master: DataFrame, sources: dict[str, DataFrame], key: str =
     return out.fillna(fill, subset=text) if text else out
 
 
-def pdb_fanout(pairs: DataFrame, per_structure: DataFrame, row_id: str = "id") -> DataFrame:
+def pdb_fanout(pairs: DataFrame, per_structure: DataFrame, row_id: str = "id", how: str = "inner") -> DataFrame:
     """Hand each per-structure record to all pairs of the structure; crowded structures are spread."""
     sizes = pairs.groupBy("pdb").agg(F.count("*").alias("_n"))
-    return salted_join(pairs, per_structure, ["pdb"], sizes, [row_id])
+    return salted_join(pairs, per_structure, ["pdb"], sizes, [row_id], how)
 
 
 def long_to_wide(df: DataFrame, values: list[str], key: str = "id", kind: str = "chain_type", kinds=("peptide", "protein")) -> DataFrame:
@@ -59,7 +59,8 @@ def entity_resolve(pairs: DataFrame, entity_poly: DataFrame, entity: DataFrame,
 
     out = pairs.select("id", "pdb", "pep_chain", "prot_chain")
     out = out.join(side("pep", "pep_chain"), ["pdb", "pep_chain"], "left")
-    out = out.join(side("prot", "prot_chain"), ["pdb", "prot_chain"], "left").join(by_structure, "pdb", "left")
+    out = out.join(side("prot", "prot_chain"), ["pdb", "prot_chain"], "left")
+    out = pdb_fanout(out, by_structure, how="left")
 
     def organism(column: str) -> Column:
         return F.upper(F.coalesce(column, "anywhere", F.lit("")))

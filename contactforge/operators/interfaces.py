@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
+from .features import pdb_fanout
 
 
 def unordered_chain_cross(pairs: DataFrame, interfaces: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def interface_class(df: DataFrame, threshold: float = fv.CSS_THRESHOLD, key: str
 
 def status_derive(pairs: DataFrame, records: DataFrame, methods: DataFrame, xray: str = fv.XRAY) -> DataFrame:
     """Recorded status of the structure, else not_xray or missing by the entry's method."""
-    joined = pairs.select("id", "pdb").join(records.select("pdb", "status"), "pdb", "left")
+    joined = pdb_fanout(pairs.select("id", "pdb"), records.select("pdb", "status"), how="left")
     joined = joined.join(methods.select("id", "STRUCTURE_METHOD"), "id", "left")
     fallback = F.when(F.coalesce("STRUCTURE_METHOD", F.lit("")) != xray, "not_xray").otherwise("missing")
     return joined.select("id", F.coalesce("status", fallback).alias("status"))
@@ -74,7 +75,7 @@ def interface_table(pairs: DataFrame, records: DataFrame, methods: DataFrame, th
     faces = records.select("pdb", F.posexplode("interfaces").alias("pos", "f")).select("pdb", "pos", "f.*")
     bodies = records.select("pdb", F.posexplode("assemblies").alias("pos", "a")).select("pdb", "pos", "a.*")
     status = status_derive(pairs, records, methods)
-    heads = pairs.select("id", "pdb").join(records.select("pdb", "assembly_done", "n_interfaces"), "pdb", "left").drop("pdb")
+    heads = pdb_fanout(pairs.select("id", "pdb"), records.select("pdb", "assembly_done", "n_interfaces"), how="left").drop("pdb")
     ok = status.filter(F.col("status") == "ok").select("id")
     scored = pairs.join(ok, "id", "left_semi")
     out = status.join(heads, "id", "left")

@@ -59,6 +59,7 @@ def _box_pairs(left: DataFrame, right: DataFrame, block, left_keys, right_keys,
         F.greatest(F.abs(F.col(f"l_hi_{a}") - F.col(f"r_lo_{a}")), F.abs(F.col(f"r_hi_{a}") - F.col(f"l_lo_{a}")))
         for a in AXES
     ]
+    # one row per cell and group on both sides; a crowded cell is split at run time by the adaptive skew join
     boxes = _neighbours(_boxes(left, block, left_keys, "l_")).join(
         _boxes(right, block, right_keys, "r_"), [*block, *CELL]
     )
@@ -81,7 +82,7 @@ def _exact_pairs(undecided, left, right, block, left_keys, right_keys, radius: f
     def side(points: DataFrame, keys, mark: str, cell: str) -> DataFrame:
         names = {**{k: f"{mark}{k}" for k in keys}, **{a: f"{mark}{a}" for a in AXES},
                  **{f"_c{a}": f"{cell}{a}" for a in AXES}}
-        return points.select(*block, *keys, *AXES, *CELL).dropDuplicates().withColumnsRenamed(names)
+        return points.select(*block, *keys, *AXES, *CELL).withColumnsRenamed(names)
 
     lefts = side(left, left_keys, "l_", "_o")
     rights = side(right, right_keys, "r_", "_c")
