@@ -11,7 +11,7 @@ Bound: about ``rows_per_language`` learning rows of each language are taken, by
 
 Defined results: texts that are null or hold no letter get ``und``, score 0 and are rejected; ties of the
 cross-entropy go to the language that sorts first; learning rows without language or text are ignored; with no
-learning row every text is ``und``; repeated rows are rated each; other columns are ignored.
+learning row every text is ``und``; repeated rows are rated each; other columns are passed on.
 """
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import chunks, texts_of
 
@@ -217,15 +217,16 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     return model
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score, rejected`` for every row."""
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows with ``lang_pred``, ``score`` and ``rejected``; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
+    source = docs.drop(*[f.name for f in extra])
+    schema = T.StructType(source.schema.fields + extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", 500_000):
-            rated = shared.value.rate(texts_of(batch, "text"))
-            names, scores, odd = zip(*rated)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(scores), pa.array(odd)], names=["doc_id", "lang_pred", "score", "rejected"])
+        for batch in chunks(batches, text, 500_000):
+            rated = zip(*shared.value.rate(texts_of(batch, text)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, rated)], names=schema.names)
 
-    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, lang_pred string, score double, rejected boolean")
+    return source.mapInArrow(run, schema)

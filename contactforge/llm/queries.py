@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat, hamming_search, language_id, quality, sharding, token_counts
+from . import byte_bpe, chat, decontaminate, hamming_search, jaccard_join, language_id, quality, sharding, suffix_dedup, token_counts
 from .common import documents, fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,25 @@ def byte_bpe_codes(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents(spark, folder).select("doc_id", "text"), *path), *path))
 
 
+@query("op3_ngram_jaccard", r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  WITH RECURSIVE r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, ways.b FROM r JOIN ways ON ways.a = r.other)
+  SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM reach LEFT JOIN sizes USING (doc_id)""")
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, folder))
+
+
 @query("op4_quality")
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
@@ -70,10 +89,16 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
 def languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = language_id.train(docs, fold_of(F.col("doc_id"), 3) != 1)
-    rated = language_id.predict(docs, model)
+    rated = language_id.predict(docs.select("doc_id", "text"), model)
     return rated.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op6_suffix_dedup")
+def suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.deduplicate(documents(spark, folder).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_hamming_top_k", """
 WITH bits AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM embeddings WHERE embedding IS NOT NULL),
 pairs AS (
@@ -94,6 +119,11 @@ def virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_benchmark_findings")
+def benchmark_findings(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.findings(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")).drop("row")
+
+
 @query("op10_token_counts")
 def piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
