@@ -215,10 +215,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """``doc_id, n_shingles, component_id`` for every row."""
     rows = staged(sketch(docs, key, text))
     full = rows.filter("n > 0 and doc_id is not null")
-    nodes = full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    groups = components(candidate_edges(nodes.select("node", "n", "prefix")))
+    first = full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
+    # the copies are taken out by name, so that the prefixes stay where they are
+    copies = staged(full.select("digest", "doc_id").join(first.filter("rows > 1"), "digest").filter("doc_id <> node").select("digest", "doc_id"))
+    nodes = full.join(small_side(copies, copies.count()), ["digest", "doc_id"], "left_anti")
+    groups = components(candidate_edges(nodes.select(F.col("doc_id").alias("node"), "n", "prefix")))
     links = components(verified_edges(docs, groups, key, text))
-    of_set = full.groupBy("digest").agg(F.min("doc_id").alias("node")).join(links, "node", "left").select(
+    of_set = first.join(links, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id"),
     )
     named = rows.join(of_set, "digest", "left")
