@@ -37,8 +37,10 @@ from .shingling import MIX, mixed
 LENGTH, GRAM, SHALLOW = 50, 20, 16
 BLOCK_BYTES = 4_000_000
 PART_BYTES = 2_000_000
+#: How hard blocks and stretches are compressed; they cross the network up to three times.
+LEVEL = 9
 #: Window starts that are hashed at once; a longer block is hashed in overlapping pieces.
-PIECE = 1 << 22
+PIECE = 1 << 20
 PLACE_BITS = np.uint64(24)
 LAST_ID = np.iinfo(np.int64).max
 
@@ -49,7 +51,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     raw = io.BytesIO()
     for a in arrays:
         np.save(raw, a)
-    return zstandard.ZstdCompressor(level=1).compress(raw.getvalue())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(raw.getvalue())
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -63,7 +65,7 @@ def make_blocks(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, batch in enumerate(chunks(batches, text, BLOCK_BYTES)):
             raw = io.BytesIO()
-            with pa.ipc.new_stream(raw, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(raw, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
                 out.write_batch(batch)
             size = sum(len(t.encode()) for t in texts_of(batch, text))
             yield pa.RecordBatch.from_arrays([
