@@ -150,7 +150,8 @@ def _physchem_profile(t: Tables):
   SELECT 1000000000 + n_nationkey, regexp_replace(upper(regexp_replace(n_name, '[^A-Za-z]', '', 'g')), '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') FROM nation
   UNION ALL SELECT 2000000000 + l_orderkey * 10 + l_linenumber, '' || CASE WHEN l_returnflag = 'R' THEN 'RRX' ELSE 'AAA' END FROM lineitem)
 SELECT 'kept' AS part, count(DISTINCT id) AS n, sum(0)::BIGINT AS residues FROM s WHERE length(regexp_replace(q, 'X', '', 'g')) >= 3
-UNION ALL SELECT 'excluded', count(*), sum(length(regexp_replace(q, 'X', '', 'g')))::BIGINT FROM s WHERE length(regexp_replace(q, 'X', '', 'g')) < 3""")
+UNION ALL SELECT 'excluded', count(*), sum(length(regexp_replace(q, 'X', '', 'g')))::BIGINT FROM s
+  WHERE length(regexp_replace(q, 'X', '', 'g')) < 3 AND id NOT IN (SELECT id FROM s WHERE length(regexp_replace(q, 'X', '', 'g')) >= 3)""")
 def _min_length_split(t: Tables):
     names = t.nation.select((F.lit(1000000000) + F.col("n_nationkey")).cast("long").alias("id"), F.upper(F.regexp_replace("n_name", "[^A-Za-z]", "")).alias("seq"))
     lines = t.lineitem.select(

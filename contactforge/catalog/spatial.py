@@ -247,7 +247,8 @@ FIRST_SQL = "first_m AS (SELECT pdb, min(model) AS m FROM atoms GROUP BY 1), one
 def _residue_sql(source: str) -> str:
     return f"""poly AS (SELECT pdb, chain, resseq, bool_or(label_seq IS NOT NULL AND label_seq NOT IN ('.', '?')) AS num FROM {source} GROUP BY ALL),
 bad AS (SELECT pdb, bool_or(label_seq IS NULL) OR NOT bool_or(label_seq IS NOT NULL AND label_seq NOT IN ('.', '?')) AS fallback FROM {source} GROUP BY 1),
-residues AS (SELECT DISTINCT a.pdb, a.chain, a.resseq, a.icode, a.resname FROM {source} a JOIN poly USING (pdb, chain, resseq) JOIN bad USING (pdb)
+places AS (SELECT pdb, chain, resseq, icode, CASE WHEN group_pdb = 'HETATM' THEN resname ELSE '' END AS hetero, arg_max(resname, pos) AS resname, min(pos) AS pos FROM {source} GROUP BY ALL),
+residues AS (SELECT a.pdb, a.chain, a.resseq, a.icode, a.resname, a.pos FROM places a JOIN poly USING (pdb, chain, resseq) JOIN bad USING (pdb)
   WHERE CASE WHEN fallback THEN a.resname IN ({NAMES}) ELSE num END)"""
 
 
@@ -271,7 +272,7 @@ def _residue_code(t: Tables):
     return atoms(t).groupBy("resname", residue_code(F.col("resname")).alias("code")).agg(F.count("*").alias("n"))
 
 
-SEQUENCE_SQL = f"chain_seq AS (SELECT pdb, chain, string_agg({LETTER_SQL}, '' ORDER BY resseq, icode, resname) AS seq, count(*)::INTEGER AS size FROM residues GROUP BY 1, 2)"
+SEQUENCE_SQL = f"chain_seq AS (SELECT pdb, chain, string_agg({LETTER_SQL}, '' ORDER BY pos, resseq, icode, {LETTER_SQL}) AS seq, count(*)::INTEGER AS size FROM residues GROUP BY 1, 2)"
 
 
 @query("chain_sequence", f"WITH {A}, {_residue_sql('atoms')}, {SEQUENCE_SQL} SELECT * FROM chain_seq")
@@ -282,9 +283,9 @@ def _chain_sequence(t: Tables):
 ROLE_SQL = "CASE WHEN size BETWEEN 2 AND 50 THEN 'peptide' WHEN size >= 51 THEN 'protein' END"
 
 
-@query("chain_role", f"WITH {A}, {_residue_sql('atoms')}, {SEQUENCE_SQL} SELECT pdb, chain, size, {ROLE_SQL} AS role FROM chain_seq")
+@query("chain_role", f"WITH {A}, {_residue_sql('atoms')}, {SEQUENCE_SQL} SELECT pdb, chain, size, {ROLE_SQL} AS role, size BETWEEN 2 AND 50 AS is_peptide, size >= 51 AS is_protein FROM chain_seq")
 def _chain_role(t: Tables):
-    return structure.chain_role(structure.chain_sequence(structure.polymer_residues(atoms(t)))).select("pdb", "chain", "size", "role")
+    return structure.chain_role(structure.chain_sequence(structure.polymer_residues(atoms(t)))).drop("seq")
 
 
 @query("count_atoms", f"WITH {A} SELECT pdb, count(*) AS n_atoms FROM atoms WHERE group_pdb IN ('ATOM', 'HETATM') GROUP BY 1")

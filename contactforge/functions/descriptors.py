@@ -142,11 +142,19 @@ ctdt = _operator("ctdt", lambda q, n, c, p: F.slice(p, 1, SWITCHES), profile=Tru
 ctdd = _operator("ctdd", lambda q, n, c, p: F.slice(p, SWITCHES + 1, PLACES), profile=True)
 
 
-def min_length_split(df: DataFrame, length: int = fv.MIN_SIGNATURE_LENGTH, key: str = "id", seq: str = "seq"):
-    """(kept ``DF[key, seq]`` with cleaned sequences, excluded ``DF[key, length]``)."""
-    cleaned = df.select(key, standard_only(F.col(seq)).alias("seq")).withColumn("length", F.length("seq"))
-    kept = cleaned.filter(F.col("length") >= length).select(key, "seq").dropDuplicates([key])
-    return kept, cleaned.filter(F.col("length") < length).select(key, "length")
+def min_length_split(df: DataFrame, length: int = fv.MIN_SIGNATURE_LENGTH, key: str = "id", seq: str = "seq", order: str | None = None):
+    """(kept ``DF[key, seq]`` with cleaned sequences, excluded ``DF[key, length]``).
+
+    Of an id's rows the first that is long enough is kept (by ``order``; without one, the longest), and what
+    comes after it is passed over; short rows before it are excluded.
+    """
+    place = F.col(order) if order else -F.length(standard_only(F.col(seq)))
+    cleaned = df.select(key, standard_only(F.col(seq)).alias("seq"), place.alias("_at")).withColumn("length", F.length("seq"))
+    first = F.min(F.struct("_at", "seq")).alias("_first")
+    kept = cleaned.filter(F.col("length") >= length).groupBy(key).agg(first)
+    short = cleaned.filter(F.col("length") < length).join(kept, key, "left")
+    early = F.col("_first").isNull() | (F.col("_at") < F.col("_first._at"))
+    return kept.select(key, "_first.seq"), short.filter(early).select(key, "length")
 
 
 def seq_signature(df: DataFrame, key: str = "id", seq: str = "seq", with_triads: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 from ..functions.text import residue_code
+from ..session import staged
 from .skew import salted_join
 
 
@@ -15,44 +16,47 @@ def is_amino(name, extra: tuple[str, ...] = ()):
 
 def first_model(atoms: DataFrame) -> DataFrame:
     """Rows of the lowest-numbered model of each structure."""
-    first = atoms.groupBy("pdb").agg(F.min("model").alias("_first"))
-    sizes = atoms.groupBy("pdb").agg(F.count("*").alias("_n"))
-    joined = salted_join(atoms, first, ["pdb"], sizes, ["x", "y", "z"])
+    stats = staged(atoms.groupBy("pdb").agg(F.min("model").alias("_first"), F.count("*").alias("_n")))
+    joined = salted_join(atoms, stats.select("pdb", "_first"), ["pdb"], stats.select("pdb", "_n"), ["x", "y", "z"])
     return joined.filter(F.col("model") == F.col("_first")).drop("_first")
 
 
 def polymer_residues(atoms: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Residues that make up chain sequences.
+    """Residues that make up chain sequences, each with the place (``pos``) of its first atom in the file.
 
-    A residue number belongs to the polymer when any of its rows carries a numeric ``label_seq``. A structure
-    with a malformed row (null ``label_seq``) has no usable set and falls back to the amino-acid test, as does
-    one without any polymer row.
+    A position (number, insertion code) holds one residue, with hetero residues apart by name; where several
+    names share it, the name that comes last counts. A residue number belongs to the polymer when any of its rows
+    carries a numeric ``label_seq``. A structure with a malformed row (null ``label_seq``) has no usable set and
+    falls back to the amino-acid test, as does one without any polymer row.
     """
     numeric = F.col("label_seq").isNotNull() & ~F.col("label_seq").isin(".", "?")
-    residues = atoms.groupBy("pdb", "chain", "resseq", "icode", "resname").agg(F.max(numeric).alias("_numeric"))
+    hetero = F.when(F.col("group_pdb") == "HETATM", F.col("resname")).otherwise("")
+    residues = atoms.groupBy("pdb", "chain", "resseq", "icode", hetero.alias("_hetero")).agg(
+        F.max_by("resname", "pos").alias("resname"), F.min("pos").alias("pos"), F.max(numeric).alias("_numeric"),
+    )
     number = Window.partitionBy("pdb", "chain", "resseq")
     residues = residues.withColumn("_poly", F.max("_numeric").over(number))
     # per structure, straight from the narrow atom columns with map-side aggregation
-    state = atoms.groupBy("pdb").agg((F.max(F.col("label_seq").isNull()) | ~F.max(numeric)).alias("_fallback"))
-    sizes = atoms.groupBy("pdb").agg(F.count("*").alias("_n"))
-    joined = salted_join(residues, state, ["pdb"], sizes, ["chain", "resseq"])
+    fallback = (F.max(F.col("label_seq").isNull()) | ~F.max(numeric)).alias("_fallback")
+    stats = staged(atoms.groupBy("pdb").agg(fallback, F.count("*").alias("_n")))
+    joined = salted_join(residues, stats.select("pdb", "_fallback"), ["pdb"], stats.select("pdb", "_n"), ["chain", "resseq"])
     kept = F.when(F.col("_fallback"), is_amino(F.col("resname"), extra)).otherwise(F.col("_poly"))
-    return joined.filter(kept).select("pdb", "chain", "resseq", "icode", "resname")
+    return joined.filter(kept).select("pdb", "chain", "resseq", "icode", "resname", "pos")
 
 
 def chain_sequence(residues: DataFrame) -> DataFrame:
-    """Per chain: the residue letters in order (``X`` kept) and their number."""
-    ordered = F.array_sort(F.collect_list(F.struct("resseq", "icode", "resname", residue_code(F.col("resname")).alias("code"))))
+    """Per chain: the residue letters in file order (``X`` kept) and their number."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "resseq", "icode", residue_code(F.col("resname")).alias("code"))))
     chains = residues.groupBy("pdb", "chain").agg(ordered.alias("_r"))
     return chains.select("pdb", "chain", F.array_join("_r.code", "").alias("seq"), F.size("_r").alias("size"))
 
 
 def chain_role(chains: DataFrame, pep_min: int = 2, pep_max: int = 50, prot_min: int = 51) -> DataFrame:
-    """``peptide`` for sizes in [pep_min, pep_max], ``protein`` from prot_min on, else null."""
-    size = F.col("size")
-    return chains.withColumn(
-        "role", F.when(size.between(pep_min, pep_max), "peptide").when(size >= prot_min, "protein")
-    )
+    """``is_peptide`` for sizes in [pep_min, pep_max], ``is_protein`` from prot_min on; with limits that overlap a
+    chain may be both. ``role`` names the first that holds, else null."""
+    peptide, protein = F.col("size").between(pep_min, pep_max), F.col("size") >= prot_min
+    role = F.when(peptide, "peptide").when(protein, "protein")
+    return chains.withColumns({"role": role, "is_peptide": peptide, "is_protein": protein})
 
 
 def count_atoms(atoms: DataFrame) -> DataFrame:

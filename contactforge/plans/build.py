@@ -13,7 +13,7 @@ from ..session import staged
 
 
 def modeled_chains(atoms: DataFrame, cutoffs: dict | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``DF[pdb, chain, seq, size, role]`` of the first model."""
+    """``DF[pdb, chain, seq, size, role, is_peptide, is_protein]`` of the first model."""
     c = {**fv.CUTOFFS, **(cutoffs or {})}
     residues = structure.polymer_residues(atoms, extra)
     return structure.chain_role(structure.chain_sequence(residues), c["pep_min"], c["pep_max"], c["prot_min"])
@@ -29,8 +29,8 @@ def build_pairs(atoms: DataFrame, cutoffs: dict | None = None, extra: tuple[str,
     first = staged(structure.first_model(atoms))
     residues = staged(structure.polymer_residues(first, extra))
     chains = staged(structure.chain_role(structure.chain_sequence(residues), c["pep_min"], c["pep_max"], c["prot_min"]))
-    peptides = chains.filter(F.col("role") == "peptide").select("pdb", "chain")
-    proteins = chains.filter(F.col("role") == "protein").select("pdb", "chain")
+    peptides = chains.filter("is_peptide").select("pdb", "chain")
+    proteins = chains.filter("is_protein").select("pdb", "chain")
     numbers = residues.select("pdb", "chain", "resseq").distinct()
     pep_atoms = first.join(numbers, ["pdb", "chain", "resseq"], "left_semi").join(peptides, ["pdb", "chain"], "left_semi")
     prot_atoms = first.join(proteins, ["pdb", "chain"], "left_semi")

@@ -1,6 +1,7 @@
 """Session helpers shared by plans, tests and the benchmark."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,9 +39,11 @@ def balanced(scan: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The cluster's shared folder from ``spark.checkpoint.dir``; a temporary one only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="contactforge-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -1,8 +1,10 @@
 """Incremental state as plain tables: ledgers, record stores, caches, and a bounded stream that feeds them."""
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -28,38 +30,54 @@ def cache_upsert(cache: DataFrame, items: DataFrame, compute: Callable[[DataFram
     return cache.unionByName(compute(unknown))
 
 
-def append_records(records: DataFrame, path: str, stage: str, signature: str) -> None:
-    """Append storable outcomes to the record table, partitioned so a reader prunes to one stage and signature."""
-    kept = persist_policy(records).select(F.lit(stage).alias("stage"), F.lit(signature).alias("signature"), "id", "status", "record")
+def append_records(records: DataFrame, path: str, stage: str, signature: str, sequence: int | None = None) -> None:
+    """Append storable outcomes to the record table, partitioned so a reader prunes to one stage and signature.
+
+    ``sequence`` orders the calls (the clock by default); a later outcome of an id replaces an earlier one.
+    """
+    number = time.time_ns() if sequence is None else sequence
+    kept = persist_policy(records).select(F.lit(stage).alias("stage"), F.lit(signature).alias("signature"), "id", "status", "record", F.lit(number).cast("long").alias("sequence"))
     kept.write.mode("append").partitionBy("stage", "signature").parquet(path)
 
 
 def stored_records(spark: SparkSession, path: str, stage: str, signature: str) -> DataFrame:
     """Latest stored outcomes of one stage under one parameter signature."""
-    table = spark.read.parquet(path)
-    return table.filter((F.col("stage") == stage) & (F.col("signature") == signature)).select("id", "status", "record").dropDuplicates(["id"])
+    table = spark.read.parquet(path).filter((F.col("stage") == stage) & (F.col("signature") == signature))
+    last = F.max(F.struct("sequence", "status", "record")).alias("last")
+    return table.groupBy("id").agg(last).select("id", "last.status", "last.record")
+
+
+def newest_version(spark: SparkSession, ledger_path: str) -> int | None:
+    """The highest ``v=`` folder of a ledger, or None where there is none yet."""
+    try:
+        return spark.read.parquet(ledger_path).agg(F.max("v")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def follow_snapshots(spark: SparkSession, folder: str, schema: str, ledger_path: str, date: str, checkpoint: str) -> int:
     """Fold every snapshot file that has appeared since the last run into a versioned ledger.
 
-    An ``availableNow`` file stream remembers which files it has seen; each micro-batch writes a new ledger
-    version named by the batch, so a replayed batch rewrites its own version and nothing is counted twice.
-    Returns the number of the last version.
+    An ``availableNow`` file stream remembers which files it has seen; each micro-batch folds its rows into the
+    newest version present and writes the next one. Known ids keep their date, so a batch that is replayed, or
+    all of them after a lost checkpoint, changes nothing. Returns the number of the newest version, -1 without one.
     """
     def fold(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        if number == 0:
+        newest = newest_version(session, ledger_path)
+        if newest is None:
             before = session.createDataFrame([], "id string, first_release date")
         else:
-            before = session.read.parquet(f"{ledger_path}/v={number - 1}")
+            before = session.read.parquet(f"{ledger_path}/v={newest}")
         ledger, _ = first_release_ledger(before, batch, date)
-        ledger.write.mode("overwrite").parquet(f"{ledger_path}/v={number}")
+        ledger.write.mode("overwrite").parquet(f"{ledger_path}/v={0 if newest is None else newest + 1}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     query = (
         stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    progress = query.lastProgress
-    return int(progress["batchId"]) if progress else -1
+    newest = newest_version(spark, ledger_path)
+    return -1 if newest is None else newest

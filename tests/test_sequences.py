@@ -115,6 +115,13 @@ def test_min_length_split(seqs):
     assert {(r.id, r.length) for r in excluded.collect()} == {("c", 0), ("e", 1)}
 
 
+def test_min_length_split_keeps_the_first_long_row(frame):
+    rows = frame([("a", "C", 0), ("a", "ACDEF", 1), ("a", "GGGGGGG", 2), ("a", "A", 3), ("b", "A", 0)], "id string, seq string, n int")
+    kept, excluded = descriptors.min_length_split(rows, order="n")
+    assert [(r.id, r.seq) for r in kept.collect()] == [("a", "ACDEF")]
+    assert sorted((r.id, r.length) for r in excluded.collect()) == [("a", 1), ("b", 1)] and excluded.count() == 2
+
+
 def test_residue_codes_keep_caps_as_x(frame):
     rows = frame([("ACE",), ("Thr",), ("SEC",), ("HOH",)], "n string").select(text.residue_code(F.col("n")).alias("c")).collect()
     assert [r.c for r in rows] == ["X", "T", "U", "X"]

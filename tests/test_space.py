@@ -133,7 +133,7 @@ def test_roles_and_gate(frame):
     assert structure.size_gate(ids, counts, 0)[0].count() == 3
 
 
-ATOMS = "pdb string, model int, chain string, resseq int, icode string, resname string, label_seq string, x double, y double, z double"
+ATOMS = "pdb string, model int, chain string, resseq int, icode string, resname string, label_seq string, x double, y double, z double, group_pdb string, pos long"
 
 
 def test_pairs_from_atoms(frame):
@@ -144,6 +144,7 @@ def test_pairs_from_atoms(frame):
     rows += [("S", 2, "Q", 0, "", "ALA", "0", 0.0, 0.0, 0.0)]
     rows += [("T", 1, "P", i, "", n, None if i == 0 else str(i), float(i), 0.0, 0.0) for i, n in enumerate(["ACE", "THR", "PRO"])]
     rows += [("T", 1, "Q", i, "", "ALA", str(i), float(i), 3.0, 0.0) for i in range(51)]
+    rows = [(*r, "HETATM" if r[5] == "HOH" else "ATOM", pos) for pos, r in enumerate(rows)]
     got = {r.id: r for r in build.build_pairs(frame(rows, ATOMS)).collect()}
     assert set(got) == {"S-P-Q", "T-P-Q"}
     assert (got["S-P-Q"].pep_seq, got["S-P-Q"].pep_size, got["S-P-Q"].prot_size) == ("XTP", 3, 51)
@@ -154,3 +155,18 @@ def test_label_status(frame):
     labels = frame([("S", "a", "A"), ("S", "b", "A")], "pdb string, chain string, label string")
     sets = frame([("1", "S", "a"), ("1", "S", "b"), ("2", "S", "a"), ("2", "S", "z"), ("2", "S", "y")], "id string, pdb string, chain string")
     assert {r.id: r.status for r in structure.label_status(sets, labels).collect()} == {"1": "too_few_chains", "2": "no_polymer_label:y,z"}
+
+
+def test_residues_follow_the_file(frame):
+    """Insertion codes that count down, two names at one position, and a hetero residue at a used number."""
+    names = [(1, "H", "THR", "ATOM"), (1, "G", "PHE", "ATOM"), (1, "F", "GLY", "ATOM"), (1, "", "ASP", "ATOM"), (2, "", "SER", "ATOM"), (2, "", "ALA", "ATOM"), (2, "", "MSE", "HETATM")]
+    atoms = frame([("p", "A", n, i, r, g, "1", pos) for pos, (n, i, r, g) in enumerate(names)],
+                  "pdb string, chain string, resseq int, icode string, resname string, group_pdb string, label_seq string, pos long")
+    chain = structure.chain_sequence(structure.polymer_residues(atoms)).first()
+    assert chain.seq[:5] == "TFGDA" and chain.size == 6
+
+
+def test_roles_may_overlap(frame):
+    chains = frame([("a", 30)], "chain string, size int")
+    row = structure.chain_role(chains, pep_max=50, prot_min=20).first()
+    assert row.is_peptide and row.is_protein

@@ -137,6 +137,8 @@ def test_record_store_round_trip(spark, frame, tmp_path):
     incremental.append_records(records, path, "energy", "sig1")
     stored = incremental.stored_records(spark, path, "energy", "sig1")
     assert rows(stored, "id") == [("a",), ("c",)]
+    incremental.append_records(frame([("a", "no_dg", "new")], "id string, status string, record string"), path, "energy", "sig1")
+    assert {r.id: r.record for r in incremental.stored_records(spark, path, "energy", "sig1").collect()} == {"a": "new", "c": None}
     done = stored.select("id", F.lit("sig1").alias("signature"))
     items = frame([("a",), ("b",), ("c",)], "id string")
     assert rows(membership.incremental_todo(items, done, "sig1"), "id") == [("b",)]
@@ -150,6 +152,9 @@ def test_stream_folds_snapshots_into_versions(spark, frame, tmp_path):
     frame([("b",), ("c",)], "id string").coalesce(1).write.mode("append").parquet(folder)
     last = incremental.follow_snapshots(spark, folder, "id string", ledger, "2026-02-01", check)
     got = {r.id: str(r.first_release) for r in spark.read.parquet(f"{ledger}/v={last}").collect()}
+    again = incremental.follow_snapshots(spark, folder, "id string", ledger, "2026-03-01", str(tmp_path / "lost"))
+    kept = {r.id: str(r.first_release) for r in spark.read.parquet(f"{ledger}/v={again}").collect()}
+    assert again > last and kept == got
     assert last > first and got == {"a": "2026-01-01", "b": "2026-01-01", "c": "2026-02-01"}
 
 
