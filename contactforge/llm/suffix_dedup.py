@@ -37,8 +37,8 @@ from .shingling import MIX, mixed
 LENGTH, GRAM, SHALLOW = 50, 20, 16
 BLOCK_BYTES = 4_000_000
 PART_BYTES = 2_000_000
-#: How hard blocks and stretches are compressed; they cross the network up to three times.
-LEVEL = 9
+#: How hard blocks are compressed, which cross the network twice, and stretches, which do once.
+BLOCK_LEVEL, LEVEL = 9, 3
 #: Window starts that are hashed at once; a longer block is hashed in overlapping pieces.
 PIECE = 1 << 20
 PLACE_BITS = np.uint64(24)
@@ -65,7 +65,7 @@ def make_blocks(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, batch in enumerate(chunks(batches, text, BLOCK_BYTES)):
             raw = io.BytesIO()
-            with pa.ipc.new_stream(raw, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
+            with pa.ipc.new_stream(raw, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", BLOCK_LEVEL))) as out:
                 out.write_batch(batch)
             size = sum(len(t.encode()) for t in texts_of(batch, text))
             yield pa.RecordBatch.from_arrays([
