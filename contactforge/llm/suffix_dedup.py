@@ -282,14 +282,21 @@ def _in_company(edge: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return slots[~alone[slots]]
 
 
+def _named(text: np.ndarray, sizes: np.ndarray, known: dict[bytes, int]) -> np.ndarray:
+    """Number of every stretch among all that are known; new ones are added."""
+    raw, end = text.tobytes(), np.cumsum(sizes).tolist()
+    return np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip([0, *end], end)], np.int64)
+
+
 def repeated_windows(rows: pd.DataFrame) -> pd.DataFrame:
     """For one partition: per block the spans that windows of an earlier document cover."""
     packed = [unpack(p) for p in rows["packed"]]
-    sizes = np.concatenate([p[1] for p in packed]).astype(np.int64)
-    base = np.cumsum([0, *(len(p[1]) for p in packed)])
-    which = np.concatenate([p[2] + b for p, b in zip(packed, base)])
+    # blocks that send the same stretch share its suffixes
+    known: dict[bytes, int] = {}
+    which = np.concatenate([_named(p[0], p[1], known)[p[2]] for p in packed])
+    sizes = np.fromiter(map(len, known), np.int64, len(known))
     first, own = np.concatenate([p[3] for p in packed]).astype(np.int64), np.concatenate([p[4] for p in packed])
-    text = np.concatenate([*(p[0] for p in packed), np.zeros(8, np.uint8)])
+    text = np.frombuffer(b"".join(known) + bytes(8), np.uint8)
     block = np.repeat(np.arange(len(packed)), [len(p[2]) for p in packed])
     windows = sizes - LENGTH + 1
     from_ = np.cumsum(windows) - windows
