@@ -18,7 +18,7 @@ import base64
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import chunks, texts_of
 
 #: Units that are kept with their ids; a full store keeps what the latest texts used.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 200_000
 #: White space of Unicode, as the pre-token pattern has it.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -61,19 +61,24 @@ class Codec:
     """Encoder and decoder for one rank file; one for each Python worker."""
 
     def __init__(self, path: str, pattern: str):
+        chars = byte_characters()
+        self.ranks, self.pattern, self.known = read_ranks(path), pattern, {}
+        self.written = {token: "".join(chars[b] for b in token) for token in self.ranks}
+        byte_of = {c: b for b, c in enumerate(chars)}
+        self.bytes_of = {self.ranks[t]: bytes(byte_of[c] for c in w) for t, w in self.written.items()}
+
+    @cached_property
+    def library(self):
+        """The encoder; a worker that only decodes does without."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-        ranks, chars = read_ranks(path), byte_characters()
-        written = {token: "".join(chars[b] for b in token) for token in ranks}
-        merges = [tuple(written[p] for p in parts_of(t, ranks)) for t in sorted(ranks, key=ranks.get) if len(t) > 1]
-        self.library = Tokenizer(models.BPE(vocab={written[t]: r for t, r in ranks.items()}, merges=merges))
-        self.library.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(pattern), behavior="isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        merges = [tuple(self.written[p] for p in parts_of(t, self.ranks)) for t in sorted(self.ranks, key=self.ranks.get) if len(t) > 1]
+        tool = Tokenizer(models.BPE(vocab={self.written[t]: r for t, r in self.ranks.items()}, merges=merges))
+        tool.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(Regex(self.pattern), behavior="isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ])
-        byte_of = {c: b for b, c in enumerate(chars)}
-        self.bytes_of = {r: bytes(byte_of[c] for c in self.library.id_to_token(r)) for r in ranks.values()}
-        self.known: dict[str, bytes] = {}
+        return tool
 
     def encode(self, texts: list[str]) -> list[bytes]:
         units = [UNIT.findall(t) for t in texts]
@@ -111,11 +116,17 @@ def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False, keep_text: bool = False) -> DataFrame:
-    """Adds ``ids`` (packed), ``n_tokens`` and, if wished, ``starts`` and ``ends``; takes the text away."""
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False, keep_text: bool = False, decoded: bool = False, decoded_text: bool = False,
+) -> DataFrame:
+    """Adds ``ids`` (packed), ``n_tokens`` and, if wished, ``starts`` and ``ends``; takes the text away.
+
+    ``decoded`` and ``decoded_text`` add what ``decode`` makes of the ids, without another pass.
+    """
     extra = [("ids", T.BinaryType()), ("n_tokens", T.LongType())]
     if offsets:
         extra += [("starts", T.ArrayType(T.LongType())), ("ends", T.ArrayType(T.LongType()))]
+    extra += [("decoded", T.BinaryType())] * decoded + [("decoded_text", T.StringType())] * decoded_text
     source, schema = _extended(docs, extra)
     schema = schema if keep_text else T.StructType([f for f in schema if f.name != text])
 
@@ -127,6 +138,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
             if offsets:
                 places = [tool.offsets(x) for x in ids]
                 out |= {n: pa.array([p[k] for p in places], pa.list_(pa.int64())) for k, n in enumerate(("starts", "ends"))}
+            if decoded or decoded_text:
+                raw = [tool.decode(x) for x in ids]
+                out |= {"decoded": pa.array(raw, pa.binary())} if decoded else {}
+                out |= {"decoded_text": pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())} if decoded_text else {}
             yield _with(batch if keep_text else batch.drop_columns([text]), out)
 
     return source.mapInArrow(run, schema)

@@ -55,7 +55,7 @@ def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_byte_bpe")
 def byte_bpe_codes(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents(spark, folder).select("doc_id", "text"), *path), *path))
+    return byte_bpe.digests(byte_bpe.encode(documents(spark, folder).select("doc_id", "text"), *path, decoded=True))
 
 
 @query("op3_ngram_jaccard", r"""

@@ -40,8 +40,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed ids and their number; ``text`` is what they decode to."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    back = byte_bpe.decode(byte_bpe.encode(docs, *vocabulary), *vocabulary, text=True)
-    return back.withColumnRenamed("decoded_text", "text").drop("decoded")
+    return byte_bpe.encode(docs, *vocabulary, decoded_text=True).withColumnRenamed("decoded_text", "text")
 
 
 STAGES = [

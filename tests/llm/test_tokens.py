@@ -46,6 +46,12 @@ def test_cut_characters_decode_to_replacement(spark, docs):
     assert "�" in byte_bpe.decode(cut, RANKS, P.PATTERN, text=True).first()["decoded_text"]
 
 
+def test_one_pass_equals_two(docs):
+    one = byte_bpe.encode(docs(ODD), RANKS, P.PATTERN, decoded=True, decoded_text=True).orderBy("doc_id")
+    two = byte_bpe.decode(byte_bpe.encode(docs(ODD), RANKS, P.PATTERN), RANKS, P.PATTERN, text=True).orderBy("doc_id")
+    assert one.columns == two.columns and one.collect() == two.collect()
+
+
 def test_digests(docs):
     out = byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs([None, "ab"]), RANKS, P.PATTERN), RANKS, P.PATTERN)).collect()
     assert {r["decoded_sha256"] for r in out} == {hashlib.sha256(x).hexdigest() for x in (b"", b"ab")}
