@@ -30,7 +30,8 @@ CHAR_BITS = 15
 DISCOUNT = 0.75
 SLACK = 6.0
 ROWS_PER_LANGUAGE = 1500
-MASK = np.uint64((1 << CHAR_BITS) - 1)
+#: Text bytes that are rated at once; each takes about a hundred bytes of arrays.
+CHUNK = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -179,7 +180,7 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     rows = learning_rows(docs, learn, key, text, lang, rows_per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             names, texts = np.array(batch.column("lang").to_pylist(), object), np.array(texts_of(batch, "text"), object)
             for name in sorted(set(names)):
                 code, start, _ = coded(list(texts[names == name]))
@@ -201,7 +202,7 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def entropies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             entropy, length, letters = shared.value.cross_entropy(texts_of(batch, "text"))
             place = [shared.value.languages.index(x) for x in batch.column("lang").to_pylist()]
             own = entropy[np.arange(len(place)), place]
@@ -225,7 +226,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType(source.schema.fields + extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text, 500_000):
+        for batch in chunks(batches, text, CHUNK):
             rated = zip(*shared.value.rate(texts_of(batch, text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, rated)], names=schema.names)
 
