@@ -37,10 +37,10 @@ from .shingling import shingle_sets
 PERCENT = 80
 #: Spare share of the set size that a prefix holds beyond what a link needs: l = SPARE * n // 100 + 1.
 SPARE = 10
-PART_BYTES = 8_000_000
+PART_BYTES = 4_000_000
 BITMAP_BITS = 2048
 LEAF, FAN = 16, 8
-CELLS = 4_000_000
+CELLS = 1_000_000
 
 
 def needed(n: int) -> int:
@@ -57,12 +57,11 @@ class Tree:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sets, words = sets, BITMAP_BITS // 64
-        maps = np.zeros((len(sets), BITMAP_BITS), bool)
-        for i, s in enumerate(sets):
-            maps[i, (s % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-        bitmap = np.packbits(maps, axis=1).view(np.uint64).reshape(len(sets), words)
+        bitmap = np.zeros((len(sets), words), np.uint64)
+        for row, s in zip(bitmap, sets):
+            np.bitwise_or.at(row, (s % np.uint64(words)).astype(np.int64), np.uint64(1) << (s >> np.uint64(8)) % np.uint64(64))
         size = np.array([len(s) for s in sets])
-        self.levels = [(bitmap, size, size, size - maps.sum(1))]
+        self.levels = [(bitmap, size, size, size - np.bitwise_count(bitmap).sum(1, dtype=np.int64))]
         while len(self.levels[-1][1]) > 1:
             at = np.arange(0, len(self.levels[-1][1]), LEAF if len(self.levels) == 1 else FAN)
             bits, low, high, clash = self.levels[-1]
