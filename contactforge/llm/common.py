@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 2_000_000
 
 #: Text bytes that a Python task holds at once; a single longer text is taken alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
