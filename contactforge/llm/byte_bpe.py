@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import chunks, texts_of
+from .common import chunks, small_batches, texts_of
 
 #: Units that are kept with their ids; a full store keeps what the latest texts used.
-CACHE_UNITS = 200_000
+CACHE_UNITS = 50_000
 #: White space of Unicode, as the pre-token pattern has it.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -144,7 +144,7 @@ def encode(
                 out |= {"decoded_text": pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())} if decoded_text else {}
             yield _with(batch if keep_text else batch.drop_columns([text]), out)
 
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", text: bool = False) -> DataFrame:
@@ -160,7 +160,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", text:
                 out["decoded_text"] = pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())
             yield _with(batch, out)
 
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Small helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,10 @@ BROADCAST_ROWS = 2_000_000
 CHUNK_BYTES = 1_000_000
 
 
+#: Bytes of an Arrow batch on its way to Python; a number of rows bounds nothing where texts differ in length.
+BATCH_BYTES = 4_000_000
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -28,6 +33,22 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends Arrow batches of ``BATCH_BYTES`` (and a row) unless its owner set another size."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) is None:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
+def give_back() -> None:
+    """Return what this Python worker has freed to the system: it outlives its task, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of a piece stay near ``limit`` bytes (one row at least)."""
     for batch in batches:
@@ -39,6 +60,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             held += size or 0
         if start < batch.num_rows:
             yield batch.slice(start)
+        give_back()
 
 
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:

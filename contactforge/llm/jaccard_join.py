@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
-from .common import chunks, small_side, texts_of
+from .common import chunks, give_back, small_batches, small_side, texts_of
 from .components import components
 from .shingling import shingle_sets
 
@@ -41,6 +41,8 @@ PART_BYTES = 4_000_000
 BITMAP_BITS = 2048
 LEAF, FAN = 16, 8
 CELLS = 1_000_000
+#: Text bytes that are cut into shingles at once; each takes about a hundred bytes of arrays.
+CHUNK = 250_000
 
 
 def needed(n: int) -> int:
@@ -151,7 +153,7 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             sets = shingle_sets(texts_of(batch, "text"))
             prefixes = [s[: len(s) - needed(len(s)) + spare(len(s))].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays([
@@ -159,7 +161,7 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
             ], names=["doc_id", "n", "digest", "prefix"])
 
-    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n long, digest binary, prefix array<long>")
+    return small_batches(source).mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n long, digest binary, prefix array<long>")
 
 
 def candidate_edges(nodes: DataFrame) -> DataFrame:
@@ -181,7 +183,7 @@ def verified_edges(docs: DataFrame, groups: DataFrame, key: str, text: str) -> D
     held = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(small_side(groups, groups.count()), "node")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             sets = shingle_sets(texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("component"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "component", "grams"],
@@ -205,6 +207,7 @@ def verified_edges(docs: DataFrame, groups: DataFrame, key: str, text: str) -> D
         for _, group in groupby(zip(*columns), key=lambda r: r[:3]):
             _, _, _, ids, raw, part = zip(*group)
             edges += linked(list(ids), [np.frombuffer(g, np.uint64) for g in raw], list(part))
+        give_back()
         return pd.DataFrame(edges, columns=["a", "b"])
 
     return dealt.groupBy("bucket").applyInPandas(join, f"a {kind}, b {kind}")

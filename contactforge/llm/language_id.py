@@ -23,15 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import chunks, texts_of
+from .common import chunks, small_batches, texts_of
 
 ORDER = 4
 CHAR_BITS = 15
 DISCOUNT = 0.75
 SLACK = 6.0
 ROWS_PER_LANGUAGE = 1500
-#: Text bytes that are rated at once; each takes about a hundred bytes of arrays.
-CHUNK = 500_000
+#: Text bytes that are coded at once (a longer text alone), and characters that are rated at once.
+CHUNK, RATED = 250_000, 100_000
 
 
 @lru_cache(maxsize=1)
@@ -81,9 +81,8 @@ class Model:
     floor: np.ndarray
     limits: np.ndarray  # per language: mean, deviation between texts, deviation of a character
 
-    def log_probability(self, code: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """Of every character given those before it, per language."""
-        key = grams(code, start, ORDER)
+    def log_probability(self, key: np.ndarray) -> np.ndarray:
+        """Of every character given those before it, per language; ``key`` holds the n-grams that end there."""
         out = np.zeros((len(key), len(self.languages)), np.float32)
         left, extra = np.arange(len(key)), np.zeros((len(key), len(self.languages)), np.float32)
         for n in range(ORDER, 0, -1):
@@ -102,8 +101,13 @@ class Model:
     def cross_entropy(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nats per character and language, characters and letters of each text."""
         code, start, letters = coded(texts)
-        total = np.add.reduceat(self.log_probability(code, start), start[:-1], axis=0, dtype=np.float64)
-        length = np.diff(start)
+        key, length = grams(code, start, ORDER), np.diff(start)
+        owner = np.repeat(np.arange(len(texts)), length)
+        total = np.zeros((len(texts), len(self.languages)))
+        for a in range(0, len(key), RATED):
+            own = owner[a : a + RATED]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[first]] += np.add.reduceat(self.log_probability(key[a : a + RATED]), first, axis=0, dtype=np.float64)
         return -total / length[:, None], length, letters
 
     def rate(self, texts: list[str]) -> list[tuple[str, float, bool]]:
@@ -187,7 +191,7 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
                 key, n = np.unique(grams(code, start, ORDER), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(key)), pa.array(key.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    sums = small_batches(rows).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = np.array(sums.column("lang").to_pylist(), object)
     key, n = sums.column("gram").to_numpy().view(np.uint64), sums.column("n").to_numpy()
     languages = sorted(set(names))
@@ -230,4 +234,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             rated = zip(*shared.value.rate(texts_of(batch, text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, rated)], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, small_side, texts_of
+from .common import chunks, small_batches, small_side, texts_of
 
 BUCKETS = 1 << 17
 DIMENSION = 10
@@ -126,7 +126,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
             pieces = [(at[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pieces], pa.binary()), pa.array([p[1] for p in pieces], pa.binary()), batch.column("label")], names=["at", "n", "label"])
 
-    counted = source.mapInArrow(count, "at binary, n binary, label int").toArrow()
+    counted = small_batches(source).mapInArrow(count, "at binary, n binary, label int").toArrow()
     examples = [(np.frombuffer(a, "<i4"), np.frombuffer(c, "<i4"), y) for a, c, y in zip(*(counted.column(k).to_pylist() for k in ("at", "n", "label")))]
     # the rows arrive in no fixed order; their content fixes it
     examples.sort(key=lambda e: (len(e[0]), e[0].tobytes()))
@@ -149,4 +149,4 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             rated = shared.value.score(texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rated), pa.array((rated >= cut).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")
+    return small_batches(source).mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, score double, predicted int")

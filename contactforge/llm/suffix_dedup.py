@@ -31,16 +31,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import staged
-from .common import chunks, texts_of
+from .common import BATCH_BYTES, chunks, give_back, small_batches, texts_of
 from .shingling import MIX, mixed
 
 LENGTH, GRAM, SHALLOW = 50, 20, 16
-BLOCK_BYTES = 4_000_000
+#: A batch that Spark sends is one block, unless its last text is long.
+BLOCK_BYTES = BATCH_BYTES + 1_000_000
 PART_BYTES = 2_000_000
 #: How hard blocks are compressed, which cross the network twice, and stretches, which do once.
 BLOCK_LEVEL, LEVEL = 9, 3
 #: Window starts that are hashed at once; a longer block is hashed in overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 18
 PLACE_BITS = np.uint64(24)
 LAST_ID = np.iinfo(np.int64).max
 
@@ -72,7 +73,7 @@ def make_blocks(docs: DataFrame, text: str) -> DataFrame:
                 pa.array([TaskContext.get().partitionId() << 32 | i]), pa.array([size]), pa.array([raw.getvalue()], pa.binary()),
             ], names=["block", "size", "rows"])
 
-    return docs.mapInArrow(run, "block long, size long, rows binary")
+    return small_batches(docs).mapInArrow(run, "block long, size long, rows binary")
 
 
 def open_block(rows: bytes, key: str, text: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
@@ -181,6 +182,7 @@ def send_anchors(blocks: DataFrame, key: str, text: str, parts: int) -> DataFram
                     pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int64()),
                     pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary()),
                 ], names=["part", "block", "keys", "twice"])
+                give_back()
 
     return blocks.select("block", "rows").mapInArrow(run, "part int, block long, keys binary, twice binary")
 
@@ -232,6 +234,7 @@ def send_stretches(blocks: DataFrame, flags: DataFrame, key: str, text: str, par
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array([o[1] for o in out], pa.binary())],
                     names=["part", "block", "packed"],
                 )
+                give_back()
 
     return blocks.select("block", "rows").join(by_block, "block").select("block", "rows", "flags").mapInArrow(run, "part int, block long, packed binary")
 
@@ -318,6 +321,7 @@ def repeated_windows(rows: pd.DataFrame) -> pd.DataFrame:
     begin, end = at[np.concatenate([[0], cut])] if len(at) else at, (at[np.append(cut, len(at)) - 1] + LENGTH) if len(at) else at
     of_block = block[whose[np.concatenate([[0], cut])]] if len(at) else whose
     out = [(rows["block"].iloc[b], pack(begin[of_block == b], end[of_block == b])) for b in np.unique(of_block)]
+    give_back()
     return pd.DataFrame(out, columns=["block", "spans"])
 
 
@@ -355,5 +359,6 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", as_tex
                 if as_text:
                     columns.append(pa.array([k.decode("utf-8", "ignore") for k in kept]))
                 yield pa.RecordBatch.from_arrays([*own.columns, *columns], names=schema.names)
+                give_back()
 
     return blocks.select("block", "rows").join(by_block, "block", "left").select("rows", "spans").mapInArrow(cut, schema)

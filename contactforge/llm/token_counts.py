@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, texts_of
+from .common import chunks, small_batches, texts_of
 
 GAP = "▁"  # how the vocabulary writes a space
 UNIT = re.compile(f"{GAP}+[^{GAP}]*|[^{GAP}]+")
@@ -159,5 +159,5 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             counts = pa.array(tool.count(texts_of(batch, "text")), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), counts], names=["doc_id", "n_bytes", "n_tokens"])
 
-    counted = source.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    counted = small_batches(source).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -37,7 +37,7 @@ def test_smoothing_sums_to_one():
     alphabet = np.unique(np.append(code, ord("z"))).astype(np.uint64)
     for context in ([0, ord("a"), ord("b")], [ord("r"), ord("a"), ord("c")], [ord("z")] * 3):
         lines = np.array([[*context, c] for c in alphabet], np.uint64).ravel()
-        p = np.exp(model.log_probability(lines, np.arange(0, len(lines) + 1, 4)))[3::4, 0]
+        p = np.exp(model.log_probability(language_id.grams(lines, np.arange(0, len(lines) + 1, 4), language_id.ORDER)))[3::4, 0]
         unseen = (1 << language_id.CHAR_BITS) - len(alphabet)
         assert p.sum() + unseen * p[-1] == pytest.approx(1, abs=1e-3)
 
