@@ -4,11 +4,12 @@ Each query reads whole tables; its SQL twin (where SQL can express it) reads the
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import balanced, table
+from ..session import balanced, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +43,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def written(t: Tables) -> str:
+    """A new path in the shared folder for files that a query writes and reads back."""
+    return f"{shared_folder(t.spark)}/files-{uuid.uuid4().hex}"
+
+
 # ---- texts as residue sequences -------------------------------------------------------------------
 # letters are taken before upper-casing, because engines differ on the capitals of some letters
 

@@ -8,7 +8,7 @@ from ..operators import clusters, features, groups, interfaces, membership, qual
 from ..plans import publish
 from ..sources import delimited
 from ..streaming import incremental
-from .base import Tables, query
+from .base import Tables, query, written
 
 # ---- selections and membership --------------------------------------------------------------------
 
@@ -545,7 +545,9 @@ def _member_lines(t: Tables):
         F.concat_ws("\t", F.concat(F.lit("cl"), "o_custkey"), F.lit("3"), F.concat(
             F.lit(" "), F.col("o_custkey") % 97, F.lit(", ,"), F.col("o_orderkey") % 1013, F.lit(" ,"), F.col("o_custkey"))).alias("value"),
     )
-    return delimited.member_rows(lines)
+    path = written(t)
+    lines.orderBy("line_no").select("value").write.text(path)
+    return delimited.read_cluster_members(t.spark, path)
 
 
 MEMBERS_SQL = """members AS (SELECT o_orderkey AS line_no, 'cl' || o_custkey::VARCHAR AS label, unnest([0, 1, 2]) AS pos,
@@ -554,9 +556,9 @@ firsts AS (SELECT member AS id, arg_max(label, line_no) AS label FROM members WH
 leaders AS (SELECT member AS id, arg_max(label, line_no) AS leader_id FROM members GROUP BY 1)"""
 
 
-@query("read_cluster_members", f"WITH {MEMBERS_SQL} SELECT line_no, label, pos, member FROM members")
+@query("read_cluster_members", f"WITH {MEMBERS_SQL} SELECT label, pos, member FROM members")
 def _read_cluster_members(t: Tables):
-    return _member_lines(t)
+    return _member_lines(t).drop("line_no")
 
 
 @query("cluster_first_member", f"WITH {MEMBERS_SQL} SELECT * FROM firsts")
@@ -583,7 +585,9 @@ def _inherit_clusters(t: Tables):
 UNION ALL SELECT 'identical', min(doc_id) OVER (PARTITION BY text)::VARCHAR, doc_id::VARCHAR FROM documents""")
 def _cluster_tables(t: Tables):
     same = groups.exact_cluster(t.documents, "doc_id", "text").select(F.col("cnr_cluster").alias("label"), F.col("id").alias("member"))
-    return publish.cluster_tables({"redundant": t.documents.select(F.col("source").alias("label"), F.col("doc_id").alias("member")), "identical": same})
+    path = written(t)
+    publish.cluster_tables_publish({"redundant": t.documents.select(F.col("source").alias("label"), F.col("doc_id").alias("member")), "identical": same}, path)
+    return t.spark.read.schema("label string, member string, kind string").option("sep", "\t").csv(path)
 
 
 # ---- incremental state ----------------------------------------------------------------------------
@@ -658,14 +662,18 @@ def _explore_projection(t: Tables):
 
 @query("split_per_entry", """SELECT substr(o_orderkey::VARCHAR, 1, 1) AS shard, o_orderpriority || ';' || o_orderkey::VARCHAR || ';' AS value FROM orders""")
 def _split_per_entry(t: Tables):
-    return publish.entry_lines(t.orders, "o_orderkey", ["o_orderpriority", "O_ORDERKEY", "absent"])
+    path = written(t)
+    publish.split_per_entry(t.orders, path, "o_orderkey", ["o_orderpriority", "O_ORDERKEY", "absent"])
+    return t.spark.read.schema("value string, shard string").text(path)
 
 
 @query("write_final", """SELECT o_orderkey::VARCHAR || ';' || o_orderstatus || ';' || o_orderpriority AS value FROM orders
 WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
 def _write_final(t: Tables):
     master = membership.master_semi(t.orders.select(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority"), t.lineitem.select(F.col("l_orderkey").alias("id")))
-    return publish.text_lines(master, ";")
+    path = written(t)
+    publish.write_final(master, path)
+    return publish.text_lines(delimited.read_delimited(t.spark, path, ";"), ";")
 
 
 @query("fasta_export", r"""SELECT '>' || doc_id::VARCHAR || ' | ' || CASE WHEN trim(coalesce(s, '')) = '' THEN 'Peptide' ELSE trim(s) END || chr(10) || seq AS value
@@ -745,13 +753,15 @@ def _complete_auth_columns(t: Tables):
 @query("read_labelled_seqs", """
 WITH s AS (SELECT doc_id AS row, regexp_replace(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') AS seq, quality AS y
   FROM documents JOIN labels USING (doc_id))
-SELECT row, seq, y FROM s WHERE length(seq) >= 3""")
+SELECT seq, y FROM s WHERE length(seq) >= 3""")
 def _read_labelled_seqs(t: Tables):
     rows = t.documents.join(t.labels, "doc_id").select(
-        F.col("doc_id").alias("row"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"),
+        F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"),
         F.when(F.col("quality") == 1, " Positive").otherwise("negative").alias("target"),
     )
-    return delimited.labelled(rows)
+    path = written(t)
+    rows.write.option("sep", "\t").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return delimited.read_labelled_seqs(t.spark, path).drop("row")
 
 
 def _reports(t: Tables):

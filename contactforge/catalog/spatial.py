@@ -1,14 +1,14 @@
 """Distance joins, surfaces and structure operators over line items read as atoms."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fixed_values as fv
 from ..functions import energy
 from ..functions.text import literal_map
 from ..operators import groups, signature3d, spatial, structure, surface
-from ..plans import build
-from .base import CHAIN_PAIR_SQL, SHORT_SQL, Tables, atoms, atoms_sql, chain_pairs, long_atoms, query, short_atoms
+from ..plans import build, publish
+from .base import CHAIN_PAIR_SQL, SHORT_SQL, Tables, atoms, atoms_sql, chain_pairs, long_atoms, query, short_atoms, written
 
 A = atoms_sql()
 SIDES = f"peps AS (SELECT * FROM atoms WHERE {SHORT_SQL}), prots AS (SELECT * FROM atoms WHERE NOT {SHORT_SQL})"
@@ -103,8 +103,11 @@ def _typed_contacts(t: Tables):
 c AS (SELECT {IDS} AS id, count(*) AS n FROM peps a JOIN prots b ON a.pdb = b.pdb {RULE_JOIN} GROUP BY ALL)
 SELECT id, pdb, pep_chain AS pep, prot_chain AS prot, coalesce(n, 0) AS total_contacts FROM pairs LEFT JOIN c USING (id)""")
 def _contact_totals(t: Tables):
-    pairs = chain_pairs(t)
-    return spatial.contact_totals(spatial.typed_contacts(pairs, _kinds(atoms(t)), RULES), pairs)
+    pairs, path = chain_pairs(t), written(t)
+    found = spatial.typed_contacts(pairs, _kinds(atoms(t)), RULES)
+    publish.contacts_publish(found, path)
+    back = t.spark.read.schema(T.StructType([*found.schema, T.StructField("shard", T.StringType())])).option("header", True).csv(path)
+    return spatial.contact_totals(back, pairs)
 
 
 def _multi(t: Tables) -> DataFrame:
