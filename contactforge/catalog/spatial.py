@@ -8,7 +8,7 @@ from ..functions import energy
 from ..functions.text import literal_map
 from ..operators import groups, signature3d, spatial, structure, surface
 from ..plans import build, publish
-from .base import CHAIN_PAIR_SQL, SHORT_SQL, Tables, atoms, atoms_sql, chain_pairs, long_atoms, query, short_atoms, written
+from .base import CHAIN_PAIR_SQL, SHORT_SQL, Tables, atoms, atoms_sql, chain_pairs, is_short, long_atoms, query, short_atoms, written
 
 A = atoms_sql()
 SIDES = f"peps AS (SELECT * FROM atoms WHERE {SHORT_SQL}), prots AS (SELECT * FROM atoms WHERE NOT {SHORT_SQL})"
@@ -170,7 +170,7 @@ def _multi_energy(t: Tables):
 # ---- surfaces ---------------------------------------------------------------------------------------
 
 DENSE = 0.15
-POINTS = 60
+POINTS = 200
 SPHERE_SQL = f"""sphere AS (SELECT i, sqrt(1 - z * z) * cos(turn) AS ux, sqrt(1 - z * z) * sin(turn) AS uy, z AS uz FROM (
   SELECT i, 1.0::DOUBLE - (2.0::DOUBLE * i + 1.0::DOUBLE) / {POINTS} AS z, i * (pi() * (3.0::DOUBLE - sqrt(5.0::DOUBLE))) AS turn FROM range({POINTS}) r(i)) s)"""
 
@@ -179,10 +179,14 @@ def _area_sql(name: str, source: str, block: list[str], keys: list[str]) -> str:
     group = list(dict.fromkeys([*block, *keys]))
     on = " AND ".join(f"a.{c} = b.{c}" for c in block)
     cols = ", ".join(group)
+    covered = "ux * vx + uy * vy + uz * vz > edge"
+    hidden = " + ".join(
+        f"bit_count(bit_or(CASE WHEN i // 100 = {w} AND {covered} THEN 1::HUGEINT << (i % 100)::HUGEINT ELSE 0::HUGEINT END))::BIGINT" for w in range(-(-POINTS // 100))
+    )
     return f"""{name}_f AS (SELECT {cols}, x, y, z, radius + {fv.PROBE_RADIUS}::DOUBLE AS r, count(*) AS m FROM {source} GROUP BY ALL),
 {name}_p AS (SELECT {', '.join(f'a.{c}' for c in group)}, a.x, a.y, a.z, a.r, a.m, b.x - a.x AS vx, b.y - a.y AS vy, b.z - a.z AS vz,
   (a.r * a.r + {D2} - b.r * b.r) / (2.0::DOUBLE * a.r) AS edge FROM {name}_f a JOIN {name}_f b ON {on} AND {D2} < (a.r + b.r) * (a.r + b.r)),
-{name}_h AS (SELECT {cols}, x, y, z, r, m, count(DISTINCT i) FILTER (WHERE ux * vx + uy * vy + uz * vz > edge) AS hidden FROM {name}_p CROSS JOIN sphere GROUP BY ALL),
+{name}_h AS (SELECT {cols}, x, y, z, r, m, {hidden} AS hidden FROM {name}_p CROSS JOIN sphere GROUP BY ALL),
 {name} AS (SELECT {cols}, sum(4.0::DOUBLE * pi() * r * r * (({POINTS}.0::DOUBLE - hidden) / {POINTS}) * m) AS area FROM {name}_h GROUP BY ALL)"""
 
 
@@ -193,23 +197,25 @@ def _accessible_area(t: Tables):
     return out.select("id", "chain", F.round("area", 4).alias("area"))
 
 
-def _sided(t: Tables):
-    """One short chain (AO) against all long chains of each structure."""
-    return atoms(t, DENSE).filter((F.col("chain") == "AO") | F.col("chain").isin("C", "D", "E", "F", "G")).withColumnRenamed("pdb", "id")
-
-
 @query("buried_surface", f"""WITH {atoms_sql(DENSE)}, {SPHERE_SQL},
-side AS (SELECT pdb, chain, CASE WHEN chain = 'AO' THEN 'peptide' ELSE 'protein' END AS role, x, y, z, radius FROM atoms WHERE chain IN ('AO', 'C', 'D', 'E', 'F', 'G')),
-{_area_sql('whole', 'side', ['pdb'], ['role'])}, {_area_sql('alone', 'side', ['pdb', 'role'], ['role'])},
-w AS (SELECT pdb, sum(area) AS c, sum(area) FILTER (WHERE role = 'peptide') AS pin, sum(area) FILTER (WHERE role = 'protein') AS rin FROM whole GROUP BY 1),
-s AS (SELECT pdb, coalesce(sum(area) FILTER (WHERE role = 'peptide'), 0) AS p, coalesce(sum(area) FILTER (WHERE role = 'protein'), 0) AS r FROM alone GROUP BY 1)
-SELECT pdb AS id, round(c, 2) AS "ASA_Complex", round(p, 2) AS "ASA_Peptide", round(r, 2) AS "ASA_Protein", round((r + p - c) / 2.0::DOUBLE, 2) AS "BSA",
-  round(p - coalesce(pin, 0), 2) AS "BPepA", round(r - coalesce(rin, 0), 2) AS "BProA", round(CASE WHEN p > 0 THEN 100.0::DOUBLE * (p - pin) / p ELSE 0.0::DOUBLE END, 2) AS "BPP%"
-FROM w JOIN s USING (pdb)""")
+short AS (SELECT DISTINCT pdb, chain AS pep FROM atoms WHERE {SHORT_SQL}),
+sets AS (SELECT s.pdb || '-' || pep AS id, s.pdb, pep, 'peptide' AS role, x, y, z, radius FROM short s JOIN atoms a ON a.pdb = s.pdb AND a.chain = pep
+  UNION ALL SELECT s.pdb || '-' || pep, s.pdb, pep, 'protein', x, y, z, radius FROM short s JOIN (FROM atoms WHERE NOT {SHORT_SQL}) a ON a.pdb = s.pdb),
+lone AS (SELECT pdb, CASE WHEN {SHORT_SQL} THEN chain ELSE '' END AS side, x, y, z, radius FROM atoms),
+{_area_sql('whole', 'sets', ['id', 'pdb', 'pep'], ['role'])}, {_area_sql('alone', 'lone', ['pdb', 'side'], [])},
+w AS (SELECT id, pdb, pep, sum(area) AS c, sum(area) FILTER (WHERE role = 'peptide') AS pin, coalesce(sum(area) FILTER (WHERE role = 'protein'), 0) AS rin FROM whole GROUP BY ALL),
+s AS (SELECT w.*, a.area AS p, coalesce(b.area, 0) AS r FROM w JOIN alone a ON a.pdb = w.pdb AND a.side = pep LEFT JOIN alone b ON b.pdb = w.pdb AND b.side = '')
+SELECT id, round(c, 2) AS "ASA_Complex", round(p, 2) AS "ASA_Peptide", round(r, 2) AS "ASA_Protein", round((r + p - c) / 2.0::DOUBLE, 2) AS "BSA",
+  round(p - pin, 2) AS "BPepA", round(r - rin, 2) AS "BProA", round(CASE WHEN p > 0 THEN 100.0::DOUBLE * (p - pin) / p ELSE 0.0::DOUBLE END, 2) AS "BPP%"
+FROM s""")
 def _buried_surface(t: Tables):
-    sided = _sided(t)
-    roles = sided.select("id", "chain").distinct().withColumn("role", F.when(F.col("chain") == "AO", "peptide").otherwise("protein"))
-    return energy.buried_surface(surface.chain_areas(sided.select("id", "chain", "x", "y", "z", "radius"), roles, n_points=POINTS))
+    """Every short chain against all long chains of its structure."""
+    chains = atoms(t).select("pdb", "chain").distinct()
+    short = chains.filter(is_short()).select("pdb", F.concat_ws("-", "pdb", "chain").alias("id"), F.col("chain").alias("_pep"))
+    sets = short.join(chains, "pdb").filter(~is_short() | (F.col("chain") == F.col("_pep")))
+    roles = sets.select("id", "pdb", "chain", F.when(is_short(), "peptide").otherwise("protein").alias("role"))
+    sided = atoms(t, DENSE).join(roles.select("id", "pdb", "chain"), ["pdb", "chain"]).select("id", "chain", "x", "y", "z", "radius")
+    return energy.buried_surface(surface.chain_areas(sided, roles, "pdb", n_points=POINTS))
 
 
 @query("bsa_filter", """SELECT l_orderkey AS id, l_linenumber AS n, (l_quantity - 2) / 1000.0::DOUBLE AS "BSA" FROM lineitem WHERE round((l_quantity - 2) / 1000.0::DOUBLE, 2) > 0""")

@@ -52,13 +52,13 @@ def pair_atoms(pairs: DataFrame, atoms: DataFrame, extra: tuple[str, ...] = ())
 def build_surface(pairs: DataFrame, atoms: DataFrame, threshold: float | None = None, **options) -> DataFrame:
     """Seven surface columns per pair, filtered by buried area. ``atoms`` needs ``radius``."""
     roles = pairs.select(
-        "id", F.inline(F.array(
+        "id", "pdb", F.inline(F.array(
             F.struct(F.col("pep_chain").alias("chain"), F.lit("peptide").alias("role")),
             F.struct(F.col("prot_chain").alias("chain"), F.lit("protein").alias("role")),
         )),
     )
     measured = pair_atoms(pairs, atoms).select("id", "chain", "x", "y", "z", "radius")
-    table = buried_surface(surface.chain_areas(measured, roles, **options))
+    table = buried_surface(surface.chain_areas(measured, roles, "pdb", **options))
     return bsa_filter(table, fv.CUTOFFS["bsa"] if threshold is None else threshold)
 
 

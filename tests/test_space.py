@@ -170,3 +170,15 @@ def test_roles_may_overlap(frame):
     chains = frame([("a", 30)], "chain string, size int")
     row = structure.chain_role(chains, pep_max=50, prot_min=20).first()
     assert row.is_peptide and row.is_protein
+
+
+def test_sides_shared_by_entries_are_measured_once_with_the_same_result(frame):
+    schema = "id string, chain string, x double, y double, z double, radius double"
+    places = {"P": 0.0, "R": 5.0, "Q": 2.5, "T": 40.0}
+    sets = {"S-P": ["P", "Q", "T"], "S-R": ["R", "Q", "T"], "S-X": ["R", "Q"]}
+    atoms = frame([(i, c, places[c], 0.0, 0.0, 1.6 + (c == "T")) for i, cs in sets.items() for c in cs], schema)
+    roles = frame([(i, "S", c, "protein" if c in "QT" else "peptide") for i, cs in sets.items() for c in cs], "id string, pdb string, chain string, role string")
+    cells = ["id", "chain", "role", "iso_area", "complex_area"]
+    each, once = (sorted(map(tuple, surface.chain_areas(atoms, roles, s, n_points=130).select(cells).collect())) for s in (None, "pdb"))
+    assert len(each) == 8 and each == once
+    assert surface.chain_areas(atoms.limit(0), roles.limit(0), "pdb").count() == 0
