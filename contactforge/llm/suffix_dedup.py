@@ -10,9 +10,11 @@ A full suffix array of a corpus cannot be shuffled, so the suffixes to sort are
    There their suffixes are sorted: multikey quicksort with eight-byte characters to depth ``SHALLOW``; then
    blind tries order what is left, each group by the first difference from one of its members, which is all a
    trie node has to look at. Suffixes equal for ``LENGTH`` bytes form a class, and its smallest document is found.
-4. Windows whose class has a smaller document come back to their block as spans and are cut out.
+4. The smallest documents of a stretch's windows come back to each block that sent it, as runs of windows. The
+   block finds all places of the stretch in its own texts, and cuts what a smaller document has.
 
-Equal stretches of a block are sent once, so a group of copies costs a partition at most one row per block.
+A block sends a stretch once, with its smallest and largest document there, and gets it back once: a group of copies
+costs a partition one entry per block and distinct stretch, however many documents hold it.
 
 Defined results: ids are integers; null ids count as larger than all others; rows with the same id do not remove
 from each other; null texts are empty; an empty table gives none. Other columns are passed on; columns named as
@@ -204,7 +206,8 @@ def shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
 # ---- stretches of text, sorted --------------------------------------------------------------------
 
 def send_stretches(blocks: DataFrame, flags: DataFrame, key: str, text: str, parts: int) -> DataFrame:
-    """``part, block, packed``: the distinct stretches under shared anchors, and where they stand."""
+    """``part, block, packed``: the distinct stretches under shared anchors, with one place and the smallest and
+    largest document of each."""
     by_block = flags.groupBy("block").agg(F.collect_list(F.struct("part", "bits")).alias("flags"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +229,13 @@ def send_stretches(blocks: DataFrame, flags: DataFrame, key: str, text: str, par
                     known: dict[bytes, int] = {}
                     which = [known.setdefault(raw[s:e], len(known)) for s, e in zip(first[at].tolist(), (last[at] + LENGTH).tolist())]
                     stretches = [*known]
+                    place, low, high = np.zeros(len(known), np.int64), np.full(len(known), LAST_ID), np.full(len(known), np.iinfo(np.int64).min)
+                    place[which] = first[at]
+                    np.minimum.at(low, which, own[at])
+                    np.maximum.at(high, which, own[at])
                     out.append((int(part[a]), pack(
                         np.frombuffer(b"".join(stretches), np.uint8), np.array([len(s) for s in stretches], np.int32),
-                        np.array(which, np.int32), first[at].astype(np.int32 if len(data) < 2**31 else np.int64), own[at],
+                        place.astype(np.int32 if len(data) < 2**31 else np.int64), low, high,
                     )))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array([o[1] for o in out], pa.binary())],
@@ -292,41 +299,68 @@ def _named(text: np.ndarray, sizes: np.ndarray, known: dict[bytes, int]) -> np.n
 
 
 def repeated_windows(rows: pd.DataFrame) -> pd.DataFrame:
-    """For one partition: per block the spans that windows of an earlier document cover."""
+    """For one partition: per block the runs of windows of its stretches that have an earlier document."""
     packed = [unpack(p) for p in rows["packed"]]
     # blocks that send the same stretch share its suffixes
     known: dict[bytes, int] = {}
-    which = np.concatenate([_named(p[0], p[1], known)[p[2]] for p in packed])
+    which = np.concatenate([_named(p[0], p[1], known) for p in packed])
     sizes = np.fromiter(map(len, known), np.int64, len(known))
-    first, own = np.concatenate([p[3] for p in packed]).astype(np.int64), np.concatenate([p[4] for p in packed])
+    place, low, high = (np.concatenate([p[k] for p in packed]).astype(np.int64) for k in (2, 3, 4))
     text = np.frombuffer(b"".join(known) + bytes(8), np.uint8)
-    block = np.repeat(np.arange(len(packed)), [len(p[2]) for p in packed])
     windows = sizes - LENGTH + 1
     from_ = np.cumsum(windows) - windows
     holder = np.repeat(np.arange(len(sizes)), windows)
     starts = (np.cumsum(sizes) - sizes)[holder] + np.arange(len(holder)) - from_[holder]
     earliest = np.full(len(sizes), LAST_ID)
-    np.minimum.at(earliest, which, own)
+    np.minimum.at(earliest, which, low)
     order, edge = deep_shallow(text, starts)
     of_class = np.minimum.reduceat(earliest[holder[order]], np.flatnonzero(edge))
     least = np.empty(len(order), np.int64)
     least[order] = of_class[np.cumsum(edge) - 1]
-    # back to every place where a stretch stands
-    n = windows[which]
-    place = np.repeat(np.arange(len(which)), n)
-    inside = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
-    covered = np.flatnonzero(least[from_[which][place] + inside] < own[place])
-    at, whose = first[place[covered]] + inside[covered], place[covered]
-    cut = np.flatnonzero((at[1:] != at[:-1] + 1) | (whose[1:] != whose[:-1])) + 1
-    begin, end = at[np.concatenate([[0], cut])] if len(at) else at, (at[np.append(cut, len(at)) - 1] + LENGTH) if len(at) else at
-    of_block = block[whose[np.concatenate([[0], cut])]] if len(at) else whose
-    out = [(rows["block"].iloc[b], pack(begin[of_block == b], end[of_block == b])) for b in np.unique(of_block)]
+    # runs of a stretch's windows with the same earliest document
+    run = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (holder[1:] != holder[:-1])))
+    count, begin, least = np.diff(np.append(run, len(least))), run - from_[holder[run]], least[run]
+    # back to every block that sent the stretch and has a later document with it
+    sent, at = _spread(np.bincount(holder[run], minlength=len(sizes)), which)
+    keep = np.flatnonzero(least[at] < high[sent])
+    sent, at = sent[keep], at[keep]
+    cut = np.searchsorted(sent, np.cumsum([0, *(len(p[1]) for p in packed)]))
+    found = (place[sent], sizes[which[sent]], begin[at], count[at], least[at])
+    out = [(block, pack(*(x[a:b] for x in found))) for block, a, b in zip(rows["block"], cut[:-1], cut[1:]) if b > a]
     give_back()
     return pd.DataFrame(out, columns=["block", "spans"])
 
 
+def _spread(runs: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For entries that name one of several lists of runs, laid end to end: every entry with each of its runs."""
+    n = runs[which]
+    entry = np.repeat(np.arange(len(which)), n)
+    return entry, (np.cumsum(runs) - runs)[which][entry] + np.arange(len(entry)) - (np.cumsum(n) - n)[entry]
+
+
 # ---- cutting --------------------------------------------------------------------------------------
 
+def covered(data: np.ndarray, start: np.ndarray, ids: np.ndarray, spans: list[bytes]) -> np.ndarray:
+    """Which bytes of a block repeat an earlier document, wherever in the block the returned stretches stand."""
+    if not spans:
+        return np.zeros(len(data), bool)
+    place, size, begin, count, least = map(np.concatenate, zip(*map(unpack, spans)))
+    raw, known = data.tobytes(), {}
+    number = np.array([known.setdefault(raw[p : p + n], len(known)) for p, n in zip(place.tolist(), size.tolist())])
+    order = np.argsort(number, kind="stable")
+    _, first, last = anchors(data, start)
+    which = np.array([known.get(raw[s:e], -1) for s, e in zip(first.tolist(), (last + LENGTH).tolist())])
+    first, which = first[which >= 0], which[which >= 0]
+    own = ids[np.searchsorted(start, first, side="right") - 1]
+    entry, at = _spread(np.bincount(number), which)
+    at = order[at]
+    earlier = np.flatnonzero(least[at] < own[entry])
+    entry, at = entry[earlier], at[earlier]
+    opened = first[entry] + begin[at]
+    change = np.bincount(opened, minlength=len(data) + 1) - np.bincount(opened + count[at] + LENGTH - 1, minlength=len(data) + 1)
+    return np.cumsum(change)[:-1] > 0
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = False) -> DataFrame:
     """The rows with ``n_bytes, n_removed, n_spans, kept`` (bytes) and, if wished, ``kept_text``."""
     extra = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
@@ -344,12 +378,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", as_tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, spans in zip(batch.column("rows").to_pylist(), batch.column("spans").to_pylist()):
-                own, data, start, _ = open_block(rows, key, text)
-                change = np.zeros(len(data) + 1, np.int64)
-                for begin, end in map(unpack, spans or []):
-                    np.add.at(change, begin, 1)
-                    np.add.at(change, end, -1)
-                gone = np.cumsum(change)[:-1] > 0
+                own, data, start, ids = open_block(rows, key, text)
+                gone = covered(data, start, ids, spans)
                 opens = gone.copy()
                 opens[1:] &= ~gone[:-1]
                 opens[start[:-1][start[:-1] < len(data)]] = gone[start[:-1][start[:-1] < len(data)]]

@@ -101,3 +101,18 @@ def test_sorted_like_strings():
     strings = [text[s : s + 50].tobytes() for s in starts[order]]
     assert strings == sorted(strings)
     assert edge.tolist() == [i == 0 or strings[i] != strings[i - 1] for i in range(len(strings))]
+
+
+def test_a_hot_passage_costs_a_partition_its_distinct_stretches(docs):
+    draw = np.random.default_rng(11)
+    passage = "".join(draw.choice(list("abcdefghij klmn"), 200))
+    texts = [passage] * 400
+    blocks = suffix_dedup.make_blocks(docs(texts).coalesce(1), "text").cache()
+    flags = suffix_dedup.send_anchors(blocks, "doc_id", "text", 8).groupBy("part").applyInPandas(suffix_dedup.shared_anchors, "block long, part int, bits binary")
+    sent = suffix_dedup.send_stretches(blocks, flags, "doc_id", "text", 8).toPandas()
+    arrays = [suffix_dedup.unpack(p) for p in sent["packed"]]
+    assert 0 < sum(len(a[1]) for a in arrays) <= 151
+    assert all(len(x) == len(a[1]) for a in arrays for x in a[2:])
+    back = suffix_dedup.repeated_windows(sent[sent["part"] == sent["part"].iloc[0]])
+    assert sum(len(x) for p in back["spans"] for x in suffix_dedup.unpack(p)) <= 5 * 151
+    assert ordered(result(docs(texts).coalesce(1))) == ordered(brute(list(enumerate(texts))))
