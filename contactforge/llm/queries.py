@@ -6,7 +6,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat, decontaminate, hamming_search, jaccard_join, language_id, quality, sharding, suffix_dedup, token_counts
+from . import (
+    byte_bpe, chat, cross_tokenizer, decontaminate, hamming_search, jaccard_join, language_id, license_scan, quality, sharding, suffix_dedup, token_counts,
+    whitening,
+)
 from .common import documents, fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +130,23 @@ def benchmark_findings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_counts")
 def piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_license_scan", license_scan.SQL)
+def licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(documents(spark, folder).select("doc_id", "text")).drop("detections")
+
+
+@query("op12_feast_whitening")
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return whitening.whiten(rows, whitening.fit(rows, 8))
+
+
+@query("op13_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")
+    return cross_tokenizer.align(
+        documents(spark, folder).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        show={"groups_sha256": digest},
+    )
