@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import chunks, small_batches, texts_of
 
-#: Units that are kept with their ids; a full store keeps what the latest texts used.
-CACHE_UNITS = 50_000
+#: Bytes of units and their ids that a worker keeps in each of two generations; a full one takes the place of the older one.
+STORE_BYTES = 64_000_000
+#: Bytes that a unit costs besides its text and ids.
+UNIT_COST = 220
 #: White space of Unicode, as the pre-token pattern has it.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -62,7 +64,7 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         chars = byte_characters()
-        self.ranks, self.pattern, self.known = read_ranks(path), pattern, {}
+        self.ranks, self.pattern, self.known, self.older, self.held = read_ranks(path), pattern, {}, {}, 0
         self.written = {token: "".join(chars[b] for b in token) for token in self.ranks}
         byte_of = {c: b for b, c in enumerate(chars)}
         self.bytes_of = {self.ranks[t]: bytes(byte_of[c] for c in w) for t, w in self.written.items()}
@@ -82,14 +84,17 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         units = [UNIT.findall(t) for t in texts]
-        used = set().union(*units)
-        if len(self.known) + len(used) > CACHE_UNITS:
-            self.known = {u: self.known[u] for u in used & self.known.keys()}
-        known = self.known
-        new = list(used - known.keys())
-        for unit, code in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            known[unit] = np.asarray(code.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, u)) for u in units]
+        known, older, used = self.known, self.older, set().union(*units)
+        missing = used - known.keys()
+        again = missing & older.keys()
+        new = list(missing - again)
+        known.update((u, older[u]) for u in again)
+        known.update((u, np.asarray(code.ids, "<u4").tobytes()) for u, code in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)))
+        out = [b"".join(map(known.__getitem__, u)) for u in units]
+        self.held += sum(UNIT_COST + 2 * len(u) + len(known[u]) for u in missing)
+        if self.held > STORE_BYTES:
+            self.known, self.older, self.held = {}, known, 0
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -76,6 +76,16 @@ def test_empty_tables(docs):
     assert byte_bpe.decode(byte_bpe.encode(none, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
 
 
+def test_generations_of_units_keep_results(monkeypatch, tiktoken_encode):
+    texts = ["one two three", "two four\n one", "one", "", "three three", "one two three"]
+    for size in (0, 1000, 10**9):
+        monkeypatch.setattr(byte_bpe, "STORE_BYTES", size)
+        tool = byte_bpe.Codec(RANKS, P.PATTERN)
+        for text in texts:
+            assert np.frombuffer(tool.encode([text])[0], "<u4").tolist() == tiktoken_encode(text)
+    assert tool.known and not tool.older
+
+
 def test_full_store_keeps_results(monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE_UNITS", 2)
     tool = token_counts.Merger(PIECES)
