@@ -1,13 +1,11 @@
 """Distance joins over 3-D points.
 
-Points are hashed into cubic cells of the search radius, so a neighbour is in the same or one of the 26
-adjacent cells. Where only *existence* or the *minimum* matters, points are first condensed to one bounding
-box per (block, cell, group) with map-side aggregation; box distances then accept or reject most group
-pairs outright and only undecided box pairs go back to their points. Lists of contacts use the cell
-equi-join itself, with hot cells salted.
-
-All results equal a brute-force comparison: box bounds use the same operations in the same order as the
-point distance, and rounding is monotone.
+Candidate pairs come from the leaves of a linear octree (:mod:`contactforge.operators.octree`): bounded leaves, salts that
+follow from the work, one array kernel per pair of leaves. Where only *existence* or the *minimum* of a group pair matters,
+the kernel folds its hits to one row per group pair before they leave it.
+
+All results equal a brute-force comparison: box bounds use the same operations in the same order as the point distance, and
+rounding is monotone. Points without a place (null coordinates) are near nothing.
 """
 from __future__ import annotations
 
@@ -17,117 +15,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.text import entry_id, literal_map
-from .skew import salted_join
-
-AXES = ("x", "y", "z")
-CELL = ["_cx", "_cy", "_cz"]
-
-
-def _cells(radius: float) -> dict[str, Column]:
-    return {f"_c{a}": F.floor(F.col(a) / F.lit(float(radius))) for a in AXES}
+from ..session import staged
+from . import octree
+from .octree import AXES
 
 
 def _sum_squares(terms) -> Column:
     return reduce(lambda a, b: a + b, [t * t for t in terms])
 
 
-def squared_distance(a: str = "l_", b: str = "r_") -> Column:
-    return _sum_squares(F.col(f"{a}{axis}") - F.col(f"{b}{axis}") for axis in AXES)
-
-
-def _neighbours(df: DataFrame) -> DataFrame:
-    """Repeat each row for the 27 cells around it; the row's own cell stays in ``_ox.._oz``."""
-    offsets = F.lit([-1, 0, 1])
-    out = df.withColumns({f"_o{a}": F.col(f"_c{a}") for a in AXES})
-    for a in AXES:
-        out = out.withColumn("_d", F.explode(offsets)).withColumn(f"_c{a}", F.col(f"_c{a}") + F.col("_d"))
-    return out.drop("_d")
-
-
-def _boxes(points: DataFrame, block: list[str], keys: list[str], side: str) -> DataFrame:
-    bounds = [f(a).alias(f"{side}{n}{a}") for a in AXES for f, n in ((F.min, "lo_"), (F.max, "hi_"))]
-    grouped = points.groupBy(*block, *CELL, *keys).agg(*bounds)
-    return grouped.withColumnsRenamed({k: f"{side}{k}" for k in keys})
-
-
-def _box_pairs(left: DataFrame, right: DataFrame, block, left_keys, right_keys, radius: float) -> DataFrame:
-    near = [
-        F.greatest(F.lit(0.0), F.col(f"l_lo_{a}") - F.col(f"r_hi_{a}"), F.col(f"r_lo_{a}") - F.col(f"l_hi_{a}"))
-        for a in AXES
-    ]
-    far = [
-        F.greatest(F.abs(F.col(f"l_hi_{a}") - F.col(f"r_lo_{a}")), F.abs(F.col(f"r_hi_{a}") - F.col(f"l_lo_{a}")))
-        for a in AXES
-    ]
-    # one row per cell and group on both sides; a crowded cell is split at run time by the adaptive skew join
-    boxes = _neighbours(_boxes(left, block, left_keys, "l_")).join(
-        _boxes(right, block, right_keys, "r_"), [*block, *CELL]
-    )
-    return boxes.withColumns({"_near": _sum_squares(near), "_far": _sum_squares(far)}).filter(
-        F.col("_near") <= F.lit(float(radius) ** 2)
-    )
-
-
-def _point_to_box(point: str, box: str) -> Column:
-    return _sum_squares(
-        F.greatest(F.lit(0.0), F.col(f"{point}{a}") - F.col(f"{box}hi_{a}"), F.col(f"{box}lo_{a}") - F.col(f"{point}{a}"))
-        for a in AXES
-    )
-
-
-def _exact_pairs(undecided, left, right, block, left_keys, right_keys, radius: float) -> DataFrame:
-    """Points of undecided box pairs; each side keeps only points within the radius of the other's box."""
-    limit = F.lit(float(radius) ** 2)
-
-    def side(points: DataFrame, keys, mark: str, cell: str) -> DataFrame:
-        names = {**{k: f"{mark}{k}" for k in keys}, **{a: f"{mark}{a}" for a in AXES},
-                 **{f"_c{a}": f"{cell}{a}" for a in AXES}}
-        return points.select(*block, *keys, *AXES, *CELL).withColumnsRenamed(names)
-
-    lefts = side(left, left_keys, "l_", "_o")
-    rights = side(right, right_keys, "r_", "_c")
-    first = undecided.join(lefts, [*block, "_ox", "_oy", "_oz", *[f"l_{k}" for k in left_keys]])
-    first = first.filter(_point_to_box("l_", "r_") <= limit)
-    both = first.join(rights, [*block, *CELL, *[f"r_{k}" for k in right_keys]])
-    return both.withColumn("_d2", squared_distance()).filter(F.col("_d2") <= limit)
-
-
 def near_groups(
     left: DataFrame, right: DataFrame, radius: float, left_keys: list[str], right_keys: list[str],
-    block: list[str] = ["pdb"], allow: Column | None = None,
+    block: list[str] = ["pdb"], keep: octree.Keep | None = None,
 ) -> DataFrame:
     """Distinct (block, left group, right group) with any two points at most ``radius`` apart.
 
-    Group columns come back prefixed with ``l_`` and ``r_``. ``allow`` restricts the group pairs.
+    Group columns come back prefixed with ``l_`` and ``r_``. ``keep`` restricts the point pairs.
     """
-    left, right = left.withColumns(_cells(radius)), right.withColumns(_cells(radius))
-    keys = [*block, *[f"l_{k}" for k in left_keys], *[f"r_{k}" for k in right_keys]]
-    boxes = _box_pairs(left, right, block, left_keys, right_keys, radius)
-    boxes = boxes if allow is None else boxes.filter(allow)
-    decided = F.col("_far") <= F.lit(float(radius) ** 2)
-    sure = boxes.filter(decided).select(*keys).distinct()
-    undecided = boxes.filter(~decided).join(sure, keys, "left_anti")
-    exact = _exact_pairs(undecided, left, right, block, left_keys, right_keys, radius)
-    return sure.unionByName(exact.select(*keys).distinct())
+    return octree.near_keys(left, right, radius, block, left_keys, right_keys, keep).drop("_d2").distinct()
 
 
 def group_min_distance(
     left: DataFrame, right: DataFrame, radius: float, left_keys: list[str], right_keys: list[str],
-    block: list[str] = ["pdb"], allow: Column | None = None,
+    block: list[str] = ["pdb"], keep: octree.Keep | None = None,
 ) -> DataFrame:
-    """Smallest point distance per group pair, for pairs within ``radius``.
-
-    The smallest *far* bound of a group pair is an upper bound of its minimum; box pairs whose *near* bound
-    exceeds it cannot hold the minimum and are never opened.
-    """
-    left, right = left.withColumns(_cells(radius)), right.withColumns(_cells(radius))
-    keys = [*block, *[f"l_{k}" for k in left_keys], *[f"r_{k}" for k in right_keys]]
-    boxes = _box_pairs(left, right, block, left_keys, right_keys, radius)
-    boxes = boxes if allow is None else boxes.filter(allow)
-    bound = boxes.groupBy(*keys).agg(F.min("_far").alias("_bound"))
-    candidates = boxes.join(bound, keys).filter(F.col("_near") <= F.col("_bound"))
-    exact = _exact_pairs(candidates, left, right, block, left_keys, right_keys, radius)
-    return exact.groupBy(*keys).agg(F.sqrt(F.min("_d2")).alias("min_dist"))
+    """Smallest point distance per group pair, for pairs within ``radius``."""
+    found = octree.near_keys(left, right, radius, block, left_keys, right_keys, keep)
+    return found.groupBy(*[c for c in found.columns if c != "_d2"]).agg(F.sqrt(F.min("_d2")).alias("min_dist"))
 
 
 # ---- pair-level operators --------------------------------------------------------------------------
@@ -140,20 +54,22 @@ def _named_pairs(df: DataFrame) -> DataFrame:
 
 def contact_pairs(peps: DataFrame, prots: DataFrame, radius: float = fv.CUTOFFS["distance"]) -> DataFrame:
     """Peptide chain x protein chain of one structure with any atom pair within the radius (inclusive)."""
-    near = near_groups(peps, prots, radius, ["chain"], ["chain"], allow=F.col("l_chain") != F.col("r_chain"))
+    near = near_groups(peps, prots, radius, ["chain"], ["chain"], keep=octree.apart("chain"))
     return _named_pairs(near).select("id", "pdb", "pep_chain", "prot_chain")
 
 
 def pair_min_distance(peps: DataFrame, prots: DataFrame, max_radius: float) -> DataFrame:
-    near = group_min_distance(peps, prots, max_radius, ["chain"], ["chain"], allow=F.col("l_chain") != F.col("r_chain"))
+    near = group_min_distance(peps, prots, max_radius, ["chain"], ["chain"], keep=octree.apart("chain"))
     return _named_pairs(near).select("id", "pdb", "pep_chain", "prot_chain", "min_dist")
 
 
 def _pair_sides(pairs: DataFrame, atoms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Atoms of the peptide chains and of the protein chains that occur in the pair table."""
+    """Atoms of the peptide chains and of the protein chains that occur in the pair table, written once: they are read twice."""
     peps = pairs.select("pdb", F.col("pep_chain").alias("chain")).distinct()
     prots = pairs.select("pdb", F.col("prot_chain").alias("chain")).distinct()
-    return atoms.join(peps, ["pdb", "chain"], "left_semi"), atoms.join(prots, ["pdb", "chain"], "left_semi")
+    sided = peps.withColumn("_side", F.lit(0)).unionByName(prots.withColumn("_side", F.lit(1)))
+    both = staged(atoms.join(sided, ["pdb", "chain"]))
+    return both.filter(F.col("_side") == 0).drop("_side"), both.filter(F.col("_side") == 1).drop("_side")
 
 
 def interface_residues(pairs: DataFrame, atoms: DataFrame, radius: float = fv.CUTOFFS["distance"]) -> DataFrame:
@@ -162,7 +78,7 @@ def interface_residues(pairs: DataFrame, atoms: DataFrame, radius: float = fv.CU
     ``atoms`` holds amino-acid residues only; residues sharing a number merge.
     """
     peps, prots = _pair_sides(pairs, atoms)
-    near = near_groups(peps, prots, radius, ["chain"], ["chain", "resseq"], allow=F.col("l_chain") != F.col("r_chain"))
+    near = near_groups(peps, prots, radius, ["chain"], ["chain", "resseq"], keep=octree.apart("chain"))
     listed = _named_pairs(near).groupBy("id").agg(F.array_sort(F.collect_list("r_resseq")).alias("interface_residues"))
     return pairs.select("id").join(listed, "id", "left").withColumn(
         "interface_residues", F.coalesce("interface_residues", F.array().cast("array<int>"))
@@ -178,7 +94,7 @@ def contact_class_counts(
     classed = atoms.withColumn("cls", cls).filter(F.col("cls").isNotNull())
     peps, prots = _pair_sides(pairs, classed)
     residue = ["chain", "resseq", "cls"]
-    near = near_groups(peps, prots, radius, residue, residue, allow=F.col("l_chain") != F.col("r_chain"))
+    near = near_groups(peps, prots, radius, residue, residue, keep=octree.apart("chain"))
     counts = [F.count("*").alias("n_intermolecular")]
     for a, b in fv.CLASS_PAIRS:
         hit = ((F.col("l_cls") == a) & (F.col("r_cls") == b)) | ((F.col("l_cls") == b) & (F.col("r_cls") == a))
@@ -187,21 +103,16 @@ def contact_class_counts(
     return pairs.select("id").join(counted, "id")
 
 
-def _contact_rows(first: DataFrame, second: DataFrame, rules: list[tuple], allow: Column) -> DataFrame:
-    """Atom pairs that satisfy a rule ``(class1, class2, dmin, dmax, type)``; hot cells are salted."""
+def _contact_rows(first: DataFrame, second: DataFrame, rules: list[tuple], ordered: bool = False) -> DataFrame:
+    """Atom pairs of different chains (``ordered``: the smaller chain first) that satisfy a rule ``(class1, class2, dmin, dmax, type)``."""
     radius = max(r[3] for r in rules)
-    classes1, classes2 = sorted({r[0] for r in rules}), sorted({r[1] for r in rules})
-    fields = ["pdb", *CELL]
-
-    def side(df: DataFrame, mark: str, classes) -> DataFrame:
-        kept = df.filter(F.col("cls").isin(classes)).withColumns(_cells(radius))
-        return kept.withColumnsRenamed({c: f"{mark}{c}" for c in df.columns if c != "pdb"})
-
-    left, right = _neighbours(side(first, "l_", classes1)), side(second, "r_", classes2)
-    sizes = right.groupBy(*fields).agg(F.count("*").alias("_n"))
-    row_id = [f"r_{c}" for c in ("chain", "resseq", *AXES)]
-    pairs = salted_join(right, left, fields, sizes, row_id, heavy=True).filter(allow)
-    pairs = pairs.withColumn("distance", F.sqrt(squared_distance())).filter(F.col("distance") <= F.lit(float(radius)))
+    columns = ["chain", "resseq", "resname", "atom_name", "cls"]
+    sides = [sorted({r[k] for r in rules}) for k in (0, 1)]
+    same = first is second and sides[0] == sides[1]
+    first = first.filter(F.col("cls").isin(sides[0]))
+    second = first if same else second.filter(F.col("cls").isin(sides[1]))
+    keep = octree.both(octree.among("cls", {(r[0], r[1]) for r in rules}), octree.apart("chain", ordered))
+    pairs = octree.near_points(first, second, radius, ["pdb"], columns, keep).withColumn("distance", F.sqrt("_d2"))
     table = F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"),
                  F.lit(kind).alias("type"))
@@ -225,7 +136,7 @@ def typed_contacts(pairs: DataFrame, atoms: DataFrame, rules: list[tuple]) -> Da
     (small, literal) rule list.
     """
     peps, prots = _pair_sides(pairs, atoms)
-    found = _contact_rows(peps, prots, rules, F.col("l_chain") != F.col("r_chain"))
+    found = _contact_rows(peps, prots, rules)
     named = found.withColumn("id", entry_id(F.col("pdb"), F.col("l_chain"), F.col("r_chain")))
     kept = named.join(pairs.select("id").distinct(), "id", "left_semi")
     return kept.select("id", *[F.col(a).alias(b) for a, b in CONTACT_FIELDS.items()], "distance", "type")
@@ -250,8 +161,8 @@ def multi_contacts(multi: DataFrame, atoms: DataFrame, rules: list[tuple]) -> Da
     members = multi.select("cluster_id", "pdb", F.explode(F.array_distinct("chains")).alias("chain"))
     entries = multi.filter(F.size(F.array_distinct("chains")) >= 2).select("cluster_id")
     members = members.join(entries, "cluster_id", "left_semi")
-    wanted = atoms.join(members.select("pdb", "chain").distinct(), ["pdb", "chain"], "left_semi")
-    found = _contact_rows(wanted, wanted, rules, F.col("l_chain") < F.col("r_chain"))
+    wanted = staged(atoms.join(members.select("pdb", "chain").distinct(), ["pdb", "chain"], "left_semi"))
+    found = _contact_rows(wanted, wanted, rules, ordered=True)
     first = members.withColumnRenamed("chain", "l_chain")
     second = members.withColumnRenamed("chain", "r_chain")
     kept = found.join(first, ["pdb", "l_chain"]).join(second, ["cluster_id", "pdb", "r_chain"], "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.energy import binding_energy, bsa_filter, buried_surface, surface_share
 from ..functions.properties import physchem_profile
-from ..operators import groups, interfaces, spatial, structure, surface
+from ..operators import groups, interfaces, octree, spatial, structure, surface
 from ..operators.features import attach_features, long_to_wide, project_ordered, property_names
 from ..operators.membership import master_semi
 from ..session import staged
@@ -71,7 +71,7 @@ def build_energy(pairs: DataFrame, atoms: DataFrame, radius: float | None = None
     measured = pair_atoms(pairs, atoms).select("id", *residue, "x", "y", "z", "radius")
     areas = surface.accessible_area(measured, keys=residue, **options)
     peps, prots = spatial._pair_sides(pairs, amino)
-    near = spatial.near_groups(peps, prots, r, ["chain", "resseq"], ["chain", "resseq"], allow=F.col("l_chain") != F.col("r_chain"))
+    near = spatial.near_groups(peps, prots, r, ["chain", "resseq"], ["chain", "resseq"], keep=octree.apart("chain"))
     touching = spatial._named_pairs(near).select("id", F.inline(F.array(
         F.struct(F.col("pep_chain").alias("chain"), F.col("l_resseq").alias("resseq")),
         F.struct(F.col("prot_chain").alias("chain"), F.col("r_resseq").alias("resseq")),
