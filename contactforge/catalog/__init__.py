@@ -3,7 +3,7 @@ from __future__ import annotations
 
 
 def _load():
-    from . import base, learning, relational, sequence, spatial, storage  # noqa: F401
+    from . import assemblies, base, learning, relational, sequence, spatial, storage  # noqa: F401
 
     return base
 

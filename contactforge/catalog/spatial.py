@@ -154,17 +154,19 @@ def _binding_energy(t: Tables):
 
 
 @query("multi_energy", f"""WITH {A}, {ENERGY_SQL}
-SELECT p.pdb || '-' || p.pep_chain AS cluster_id, string_agg(coalesce(n_intermolecular::VARCHAR, ''), ':' ORDER BY p.prot_chain) AS n_intermolecular,
-  string_agg(coalesce(n_charged_polar::VARCHAR, ''), ':' ORDER BY p.prot_chain) AS n_charged_polar,
-  string_agg(coalesce(n_apolar_apolar::VARCHAR, ''), ':' ORDER BY p.prot_chain) AS n_apolar_apolar,
-  round(coalesce(sum(dg), 0.0::DOUBLE), 4) AS dg_sum, count(dg) AS dg_n
-FROM pairs p LEFT JOIN en USING (id) GROUP BY 1""")
+SELECT p.pdb || '-' || p.pep_chain AS cluster_id, (row_number() OVER (PARTITION BY p.pdb, p.pep_chain ORDER BY p.prot_chain) - 1)::INTEGER AS pos,
+  {', '.join(f'n_{k}::DOUBLE AS n_{k}' for k in ("intermolecular", *(f"{a}_{b}" for a, b in fv.CLASS_PAIRS)))}, nis_apolar, nis_charged, round(dg, 8) AS dg,
+  round(dg / {KT!r}::DOUBLE, 6) AS ln_kd
+FROM pairs p LEFT JOIN en USING (id)""")
 def _multi_energy(t: Tables):
+    """The colon lists of all eleven columns, taken apart again: one row per partner, blanks as null."""
     multi = _multi(t).withColumnRenamed("partners", "chains")
-    out = groups.multi_energy(multi, atoms(t), _shares(t))
-    values = F.filter(F.split("dg", ":"), lambda v: v != "")
-    total = F.aggregate(values.cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
-    return out.select("cluster_id", "n_intermolecular", "n_charged_polar", "n_apolar_apolar", F.round(total, 4).alias("dg_sum"), F.size(values).cast("long").alias("dg_n"))
+    lists = groups.multi_energy(multi, atoms(t), _shares(t))
+    cells = F.arrays_zip(*[F.split(c, ":", -1).alias(c) for c in groups.ENERGY_COLUMNS])
+    rows = lists.select("cluster_id", F.posexplode(cells).alias("pos", "cell"))
+    value = {c: F.col(f"cell.{c}").try_cast("double") for c in groups.ENERGY_COLUMNS}
+    plain = [v.alias(c) for c, v in value.items() if c not in ("dg", "kd")]
+    return rows.select("cluster_id", "pos", *plain, F.round(value["dg"], 8).alias("dg"), F.round(F.ln(value["kd"]), 6).alias("ln_kd"))
 
 
 # ---- surfaces ---------------------------------------------------------------------------------------

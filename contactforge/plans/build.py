@@ -110,38 +110,39 @@ def build_wide(pairs: DataFrame, sources: dict[str, DataFrame], profile: DataFra
 SECOND_KEY = "cluster_id_2"  # the published name occurs twice; only the sink can write it so
 
 
-def build_multi(multi: DataFrame, sources: dict[str, DataFrame], profile: DataFrame) -> DataFrame:
+def build_multi(multi: DataFrame, sources: dict[str, DataFrame], profile: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """The 68-column multi-partner table.
 
     Peptide-level cells come from the first item; partner-level cells are colon-joined in item order.
     ``sources``: surface and energy keyed by cluster_id; metadata, interface, inherited, ledger, records keyed
-    by pair id.
+    by pair id. All of the latter meet the items by pair id, without an exchange where they are bucketed by it (``items`` too),
+    and one grouping by cluster_id makes every cell.
     """
-    items = groups.item_positions(multi)
-    leads = items.filter(F.col("pos") == 0).select("cluster_id", "id")
-
-    def lead(frame: DataFrame, columns: list[str]) -> DataFrame:
-        return leads.join(frame.select("id", *[F.col(f"`{c}`") for c in columns]), "id", "left").drop("id")
-
+    items = groups.item_positions(multi) if items is None else items
     wide = long_to_wide(profile, list(fv.PROPERTY_NAMES))
     for kind in ("peptide", "protein"):
         wide = wide.withColumnsRenamed(property_names(kind))
-    peptide = [f"peptide_{v}" for v in fv.PROPERTY_NAMES.values()]
-    protein = [f"protein_{v}" for v in fv.PROPERTY_NAMES.values()]
-    metadata, records = sources["metadata"], sources["records"]
-    single = ["TITLE", "RESOLUTION", "CLASSIFICATION", "DEPOSITION_DATE", "STRUCTURE_METHOD", "PEPTIDE_DESC"]
-    listed = sources["interface"].select("id", F.array_join(F.col("interface_residues").cast("array<string>"), ",").alias("Interface Residues"))
-    # one join per source by pair id, one ordered collection for every partner-level column together
-    per_item = wide.select("id", *protein).join(metadata.select("id", "PROTEIN_DESC"), "id", "full_outer")
-    per_item = per_item.join(listed, "id", "full_outer").join(records.select("id", "pisa_interface_class", F.col("pisa_css").alias("pisa_css_per_chain")), "id", "full_outer")
-    columns = [*protein, "PROTEIN_DESC", "Interface Residues", "pisa_css_per_chain"]
-    joined = items.join(per_item, "id", "left")
-    classes = groups.aggregate_class(joined.select("cluster_id", "pos", F.col("pisa_interface_class").alias("class")))
+    lead = [f"peptide_{v}" for v in fv.PROPERTY_NAMES.values()]
+    lead += ["TITLE", "RESOLUTION", "CLASSIFICATION", "DEPOSITION_DATE", "STRUCTURE_METHOD", "PEPTIDE_DESC", "leader_id", "FIRST_RELEASE"]
+    listed = [f"protein_{v}" for v in fv.PROPERTY_NAMES.values()] + ["PROTEIN_DESC", "Interface Residues", "pisa_css"]
+    residues = F.array_join(F.col("interface_residues").cast("array<string>"), ",").alias("Interface Residues")
+    joined = items
+    for frame in (
+        wide, sources["metadata"], sources["interface"].select("id", residues), sources["records"].select("id", "pisa_interface_class", "pisa_css"),
+        sources["inherited"].select("id", "leader_id"), sources["ledger"].select("id", F.col("first_release").alias("FIRST_RELEASE")),
+    ):
+        joined = joined.join(frame, "id", "left")
+    names = [*lead, *listed, "pisa_interface_class"]
+    cell = F.struct("pos", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"v{k}") for k, c in enumerate(names)])
+    grouped = joined.groupBy("cluster_id").agg(F.array_sort(F.collect_list(cell)).alias("_m"))
+    place = {c: f"v{k}" for k, c in enumerate(names)}
+    classes = F.col(f"_m.{place['pisa_interface_class']}")
     frames = [
-        groups.colon_values(items, per_item, columns),
-        classes.withColumnsRenamed({"class": "pisa_interface_class", "class_per_chain": "pisa_interface_class_per_chain"}),
-        lead(wide, peptide), lead(metadata, single), lead(sources["inherited"], ["leader_id"]),
-        lead(sources["ledger"].select("id", F.col("first_release").alias("FIRST_RELEASE")), ["FIRST_RELEASE"]),
+        grouped.select(
+            "cluster_id", *[F.get("_m", F.lit(0))[place[c]].alias(c) for c in lead],
+            *[F.array_join(F.col(f"_m.{place[c]}"), ":").alias("pisa_css_per_chain" if c == "pisa_css" else c) for c in listed],
+            groups.class_of_list(classes).alias("pisa_interface_class"), F.array_join(classes, ":").alias("pisa_interface_class_per_chain"),
+        ),
         sources["surface"], sources["energy"].withColumnsRenamed(fv.ENERGY_NAMES),
     ]
     out = multi.withColumns({

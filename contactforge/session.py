@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,16 @@ def local_session(cores: int | str = "*", name: str = "contactforge", memory: st
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the workers of a session, once: they need neither its folder nor an installed copy."""
+    context = spark.sparkContext
+    if not getattr(context, "_contactforge_shipped", False):
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='contactforge-')}/contactforge", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        context._contactforge_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -13,3 +13,60 @@ def test_surface_and_energy_of_one_pair(frame):
     assert energy.n_intermolecular == energy.n_charged_charged == 8
     assert (energy.nis_apolar, energy.nis_charged) == (0.0, 100.0)
     assert abs(energy.dg - (fv.ENERGY_INTERCEPT - 0.09459 * 8 + 13.81)) < 1e-9
+
+
+def _letters(frame, pairs):
+    from pyspark.sql import functions as F
+
+    named = pairs.select("id", *[F.lit("7").alias(f"pisa_{c}") for c in ("css", *[c for c in fv.INTERFACE_FIELDS if c != "css"])], F.lit("biological").alias("pisa_interface_class"))
+    return {"surface": pairs.select("id", *[F.lit(1.5).alias(c) for c in fv.SURFACE_NAMES]), "records": named,
+            "metadata": pairs.select("id", *[F.lit("m").alias(c) for c in fv.METADATA_NAMES]), "inherited": pairs.select("id", *[F.lit("c").alias(c) for c in fv.INHERITED_NAMES]),
+            "ledger": pairs.select("id", F.lit("2026-01-01").cast("date").alias("first_release")), "interface": pairs.select("id", F.array(F.lit(3)).alias("interface_residues")),
+            "scores": pairs.select("id", *[F.lit("0.5").alias(c) for c in fv.PEPTIDE_CLASSES])}
+
+
+def test_bucketed_sources_meet_without_an_exchange(spark, frame):
+    from contactforge.functions.properties import physchem_profile
+    from contactforge.plans.bucketed import bucketed, bucketed_sources
+
+    pairs = frame([(f"S-P-{c}", "S", "P", c, 3, 60, "ACD", "ACDEF") for c in "ABCDEF"], "id string, pdb string, pep_chain string, prot_chain string, pep_size int, prot_size int, pep_seq string, prot_seq string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sources, profile = _letters(frame, pairs), physchem_profile(pairs)
+        plain = build.build_wide(pairs, sources, profile)
+        kept = bucketed_sources({**sources, "profile": profile})
+        wide = build.build_wide(bucketed(pairs), kept, kept["profile"])
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.replace("ReusedExchange", "") and plan.count("SortMergeJoin") >= 8
+        assert "Exchange hashpartitioning" in plain._jdf.queryExecution().executedPlan().toString()
+        assert sorted(wide.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_class_of_a_list_is_the_grouped_rule(frame):
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from contactforge.operators import groups
+
+    kinds = ["biological", "crystal-packing", "indeterminate", "not_applicable", ""]
+    rows = [(f"{i}", pos, c) for i, cs in enumerate([*product(kinds, repeat=2), *product(kinds, repeat=3)]) for pos, c in enumerate(cs)]
+    df = frame(rows, "cluster_id string, pos int, class string")
+    lists = df.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("pos", "class"))).alias("m")).select("cluster_id", groups.class_of_list(F.col("m.class")).alias("class"))
+    assert sorted(lists.collect()) == sorted(groups.aggregate_class(df).select("cluster_id", "class").collect())
+
+
+def test_workers_need_no_package_of_their_own(spark):
+    import zipfile
+
+    from contactforge.session import ship
+
+    ship(spark)
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("contactforge.zip")]
+    ship(spark)
+    assert len(shipped) == 1 == len([f for f in spark.sparkContext.listFiles if f.endswith("contactforge.zip")])
+    names = zipfile.ZipFile(f"{__import__('pyspark').SparkFiles.get('contactforge.zip')}").namelist()
+    assert "contactforge/operators/octree.py" in names
