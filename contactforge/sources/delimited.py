@@ -1,9 +1,13 @@
 """Delimited and line-oriented sources. Everything is read as text; types are cast where they are used."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import standard_only
+from .streams import line_pieces, streamed
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -41,11 +45,20 @@ def line_position() -> Column:
     )
 
 
-def read_column_order(spark: SparkSession, path: str) -> list[str]:
-    """One column name per line, blank and ``#`` lines skipped. A header-sized file, so it ends on the driver."""
-    lines = spark.read.text(path).withColumn("at", line_position()).withColumn("name", F.trim("value"))
-    kept = lines.filter((F.col("name") != "") & ~F.col("value").startswith("#")).orderBy("at")
-    return [r.name for r in kept.select("name").collect()]
+def _order_batches(path: str) -> Iterator[pa.RecordBatch]:
+    n = 0
+    for lines in line_pieces(path, "\r"):
+        names = [line.strip() for line in lines if line.strip() and not line.startswith("#")]
+        yield pa.RecordBatch.from_arrays([pa.array([path] * len(names), pa.string()), pa.array(range(n, n + len(names)), pa.int32()), pa.array(names, pa.string())], names=["file", "at", "name"])
+        n += len(names)
+
+
+def read_column_order(spark: SparkSession, path: str) -> DataFrame:
+    """``DF[pos, name]``: one column name per line, blank and ``#`` lines skipped; several files count on in the order of their names."""
+    lines = streamed(spark, path, _order_batches, "file string, at int, name string", "()$").drop("pdb")
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return lines.join(sizes.select("file", before.alias("_before")), "file").select((F.col("_before") + F.col("at")).cast("int").alias("pos"), "name")
 
 
 def member_rows(lines: DataFrame, value: str = "value", line: str = "line_no") -> DataFrame:
