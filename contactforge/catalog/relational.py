@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import clusters, features, groups, interfaces, membership, quality
-from ..plans import publish
+from ..plans import publish, release_tree
 from ..sources import delimited
 from ..streaming import incremental
 from .base import Tables, query, written
@@ -310,17 +310,30 @@ cur AS (SELECT c_custkey AS id, c_name, CASE WHEN c_acctbal > 8000 THEN 'REVIEW'
   FROM customer WHERE c_acctbal < 9000)"""
 
 
-@query("release_diff", f"""
+DIFF_SQL = f"""
 WITH {RELEASES_SQL}
 SELECT count(p.id) AS prev_n, count(c.id) AS cur_n, count(*) FILTER (WHERE p.id IS NULL) AS added,
   count(*) FILTER (WHERE c.id IS NULL) AS removed, count(*) FILTER (WHERE p.id IS NOT NULL AND c.id IS NOT NULL) AS common,
   count(*) FILTER (WHERE p.id IS NOT NULL AND c.id IS NOT NULL AND (coalesce(p.c_name, '') <> coalesce(c.c_name, '')
     OR coalesce(p.c_mktsegment, '') <> coalesce(c.c_mktsegment, ''))) AS changed
-FROM cur c FULL OUTER JOIN prev p ON c.id = p.id""")
+FROM cur c FULL OUTER JOIN prev p ON c.id = p.id"""
+
+
+@query("release_diff", DIFF_SQL)
 def _release_diff(t: Tables):
     return quality.release_diff(*_releases(t))
 
 
+@query("release_tree_diff", DIFF_SQL)
+def _release_tree_diff(t: Tables):
+    """Both releases are written with their trees; only buckets that differ are read back."""
+    new, old = _releases(t)
+    paths = written(t), written(t)
+    for df, path in zip((new, old), paths):
+        release_tree.write_release(df, path, buckets=64)
+    return release_tree.release_tree_diff(t.spark, *paths)
+
+
 # ---- groups ---------------------------------------------------------------------------------------
 
 
@@ -626,7 +639,8 @@ def _cache_upsert(t: Tables):
     cache = t.orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"), F.lit(0).cast("long").alias("n"))
 
     def compute(ids):
-        counted = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.count("*").alias("n"))
+        lines = t.lineitem.select(F.col("l_orderkey").alias("id")).join(ids, "id", "left_semi")  # known ids are not counted again
+        counted = lines.groupBy("id").agg(F.count("*").alias("n"))
         return ids.join(counted, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
 
     return incremental.cache_upsert(cache, t.orders.select(F.col("o_orderkey").alias("id")), compute)
@@ -657,7 +671,9 @@ def _summary_source(t: Tables):
 @query("explore_projection", """SELECT o_orderkey::VARCHAR || repeat(chr(9), 4) || o_orderpriority || repeat(chr(9), 2) || o_orderstatus || repeat(chr(9), 2)
   || o_custkey::VARCHAR || repeat(chr(9), 4) || strftime(o_orderdate, '%Y-%m-%d') || repeat(chr(9), 12) AS value FROM orders""")
 def _explore_projection(t: Tables):
-    return publish.text_lines(features.explore_projection(_summary_source(t)), "\t")
+    path = written(t)
+    publish.write_summary(_summary_source(t), path)
+    return t.spark.read.text(path)
 
 
 @query("split_per_entry", """SELECT substr(o_orderkey::VARCHAR, 1, 1) AS shard, o_orderpriority || ';' || o_orderkey::VARCHAR || ';' AS value FROM orders""")
@@ -684,7 +700,10 @@ def _fasta_export(t: Tables):
         F.col("doc_id").alias("id"), F.when(F.col("lang") != "en", F.concat_ws(" ", "source", "lang")).alias("desc"),
         F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"),
     )
-    return features.fasta_export(rows, "Peptide")
+    path = written(t)
+    publish.write_fasta(features.fasta_export(rows, "Peptide"), path)
+    records = t.spark.read.option("lineSep", "\n>").text(path)  # a record ends where the next one begins
+    return records.select(F.concat(F.lit(">"), F.regexp_replace(F.regexp_replace("value", "^>", ""), "\n$", "")).alias("value"))
 
 
 @query("rename_map", """SELECT l_orderkey AS "No. of polar-polar contacts", l_tax AS "Percentage of apolar NIS residues" FROM lineitem""")
