@@ -77,7 +77,7 @@ def test_empty_table_shards(docs):
     assert sharding.shard_documents(docs(["a"]).limit(0))[0].count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_prefix_targets", "op8_virtual_slots"])
+@pytest.mark.parametrize("name", ["op1_prefix_targets", "op8_virtual_slots", "op9_benchmark_findings", "op11_license_scan"])
 def test_main_path_has_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
