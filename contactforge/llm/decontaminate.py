@@ -1,17 +1,20 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming blocks, in DataFrame functions only.
 
 Texts are lower-cased (A-Z) and cut into words at white space; shingles have five words (an item with fewer words
-is one shingle). Windows have the size of a benchmark item. Only windows around a shingle of the benchmark are
-looked at; all others share nothing with any item, so nothing is lost. Each window gets a 64-bit SimHash of its
-shingles. Fingerprints are cut into ``RADIUS + 1`` blocks: two that differ in ``RADIUS`` bits at most agree in one
-block, so an equality join on blocks finds all of them. Candidates are verified exactly, by the weighted Jaccard
-similarity of the shingle counts (sum of minima over sum of maxima), 0.8 or more.
-
-A window of similarity 0.8 is expected to differ in about 10 of 64 bits; the radius leaves four deviations.
-
-Defined results: a finding is a pair of document and item with its best window (the first of equals), counted
-in words from 0. Null or wordless texts and items find nothing; documents shorter than an item are one window;
-rows that share id and text are one document; an empty table finds nothing; other columns are ignored.
+is one shingle). Windows have the size of a benchmark item. Only windows around a shingle of an item are set against
+it; all others share nothing with that item, so nothing is lost. Each window gets a 64-bit SimHash of its shingles.
+Fingerprints are cut into ``RADIUS + 1`` blocks: two that differ in ``RADIUS`` bits at most agree in one block, so an
+equality join of a window's blocks with those of its item finds all of them. Candidates are verified exactly, by the
+weighted Jaccard similarity of the shingle counts (sum of minima over sum of maxima), 0.8 or more.
+
+A window of similarity 0.8 whose shingles all differ is expected to differ in about 10 of 64 bits; the radius leaves
+five deviations. A shingle that repeats weighs on every bit and voids that estimate, so windows and items with a
+repeated shingle are verified exactly without asking their fingerprints.
+
+Defined results: a finding is a pair of document and item with its best window (the first of equals among the
+starts that shared shingles set; a start before them may tie where the edge of the item is edited), counted in words from 0. Null or wordless texts and items find nothing; documents shorter than an item are one window;
+rows that share id and text are one document,
+items that share them one item; an item id with several texts is found by any of them; an empty table finds nothing; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -24,7 +27,7 @@ from .common import small_side
 
 SHINGLE = 5
 BITS = 64
-RADIUS = 21
+RADIUS = 24
 PERCENT = 80
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,6 +62,10 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(hashes, F.struct(*[F.lit(0).cast("long").alias(f"l{k}") for k in lanes]), add, bits)
 
 
+def repeats(hashes: Column) -> Column:
+    return F.size(F.array_distinct(hashes)) < F.size(hashes)
+
+
 def blocks(fingerprint: Column) -> Column:
     """``RADIUS + 1`` structs of block number and its bits."""
     n = RADIUS + 1
@@ -76,7 +83,8 @@ def row_key(key: str, text: str) -> Column:
 def findings(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, row, item_id, first_word, n_words, similarity``; ``row`` is ``row_key`` of the document."""
     items = staged(
-        benchmark.select(F.col(item).alias("item_id"), word_hashes(F.col(item_text)).alias("w")).withColumn("n", F.size("w")).filter("n > 0")
+        benchmark.select(F.col(item).alias("id"), word_hashes(F.col(item_text)).alias("w")).distinct()
+        .select(F.struct("id", F.xxhash64("w").alias("text")).alias("item_id"), "w", F.size("w").alias("n")).filter("n > 0")
     )
     short = sorted(r["n"] for r in items.filter(F.col("n") < SHINGLE).select("n").distinct().collect())  # four values at most
     sizes = [*short, SHINGLE]
@@ -100,30 +108,39 @@ def findings(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     later = F.expr("lead(start) over (partition by row, item_id order by start)")
     gap = aligned.withColumn("later", later)
     upto = F.when(F.col("later") - F.col("start") <= F.col("n"), F.col("later") - 1).otherwise(F.col("start"))
-    starts = staged(gap.select("row", "n", "k", F.explode(F.sequence("start", upto)).alias("start")).distinct())
+    met = staged(gap.select("row", "item_id", "n", "k", F.explode(F.sequence("start", upto)).alias("start")))
+    starts = met.select("row", "n", "k", "start").distinct()
 
-    touched = starts.select("row").distinct()
-    held = texts.dropDuplicates(["row"]).join(small_side(touched, starts.count()), "row", "left_semi")
+    touched = met.select("row").distinct()
+    held = texts.dropDuplicates(["row"]).join(small_side(touched, met.count()), "row", "left_semi")
     ends = F.least(F.col("start") + F.col("n"), F.size("w"))
     windows = held.join(starts, "row").select("doc_id", "row", "n", "start", ends.alias("stop"), "k", "w")
     by_size = F.coalesce(*[F.when(F.col("k") == k, shingles(F.col("w"), F.col("start"), F.col("stop") - k, k)) for k in sizes])
     windows = windows.select("doc_id", "row", "n", "start", (F.col("stop") - F.col("start")).alias("words"), by_size.alias("s"))
-    windows = staged(windows.withColumn("print", simhash(F.col("s"))))
-
-    left = windows.select("row", "n", "start", "print", F.inline(blocks(F.col("print"))))
-    right = own.select("item_id", "n", "item_print", F.inline(blocks(F.col("item_print"))))
-    near = left.join(right, ["n", "block", "bits"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    pairs = near.select("row", "n", "start", "item_id").distinct()
-
-    counted = windows.select("doc_id", "row", "n", "start", "words", F.size("s").alias("total"), F.explode("s").alias("h"))
+    windows = staged(windows.select("*", simhash(F.col("s")).alias("print"), repeats(F.col("s")).alias("repeats")))
+
+    pairs = met.select("row", "n", "start", "item_id").join(windows.select("row", "n", "start", "print", "repeats"), ["row", "n", "start"])
+    right = own.select("item_id", "item_print", repeats(F.col("s")).alias("item_repeats"))
+    right = small_side(right, right.count())
+    prints = pairs.join(right, "item_id")
+    plain = ~(F.col("repeats") | F.col("item_repeats"))
+    window_blocks = prints.filter(plain).select("row", "n", "start", "item_id", "print", F.inline(blocks(F.col("print"))))
+    item_blocks = own.select("item_id", "item_print", F.inline(blocks(F.col("item_print"))))
+    within = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
+    near = window_blocks.join(small_side(item_blocks, item_blocks.count()), ["item_id", "block", "bits"]).filter(within)
+    columns = ["row", "n", "start", "item_id"]
+    candidates = staged(near.select(columns).distinct().unionByName(prints.filter(~plain).select(columns)))
+
+    looked_at = windows.join(candidates.select("row", "n", "start").distinct(), ["row", "n", "start"], "left_semi")
+    counted = looked_at.select("doc_id", "row", "n", "start", "words", F.size("s").alias("total"), F.explode("s").alias("h"))
     counted = counted.groupBy("doc_id", "row", "n", "start", "words", "total", "h").agg(F.count(F.lit(1)).alias("c"))
     item_counts = own.select("item_id", F.size("s").alias("item_total"), F.explode("s").alias("h")).groupBy("item_id", "item_total", "h").agg(F.count(F.lit(1)).alias("ic"))
-    shared = pairs.join(counted, ["row", "n", "start"]).join(item_counts, ["item_id", "h"])
+    shared = candidates.join(counted, ["row", "n", "start"]).join(item_counts, ["item_id", "h"])
     least = shared.groupBy("doc_id", "row", "item_id", "n", "start", "words", "total", "item_total").agg(F.sum(F.least("c", "ic")).alias("both"))
     either = F.col("total") + F.col("item_total") - F.col("both")
     alike = least.filter(F.col("both") * 100 >= either * PERCENT).withColumn("similarity", F.col("both") / either)
     best = F.max_by(F.struct("start", "words", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
-    return alike.groupBy("doc_id", "row", "item_id").agg(best).select(
+    return alike.groupBy("doc_id", "row", F.col("item_id.id").alias("item_id")).agg(best).select(
         "doc_id", "row", "item_id", F.col("best.start").alias("first_word"), F.col("best.words").alias("n_words"), "best.similarity",
     )
 

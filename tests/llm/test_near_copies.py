@@ -137,6 +137,44 @@ def test_findings_equal_brute_force(spark, docs):
     assert decontaminate.findings(docs(texts).limit(0), bench).count() == 0 and decontaminate.findings(docs(texts), bench.limit(0)).count() == 0
 
 
+def test_repeated_shingles_void_no_finding(spark):
+    """Few distinct shingles with other weights: fingerprints far apart, similarity above the threshold."""
+    alternate = lambda first, second, n: " ".join([first, second][i % 2] for i in range(n))
+    stuck = [f"w{i}" for i in range(200)]
+    items = {0: alternate("a", "b", 25), 1: " ".join(stuck), 2: "x " * 12}
+    texts = [alternate("b", "a", 25), " ".join(stuck[:172] + ["w171"] * 28), "x " * 10, "y " * 40 + alternate("b", "a", 26), alternate("a", "c", 25)]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    twice = decontaminate.findings(docs.unionByName(docs), bench.unionByName(bench))
+    got = {(r["doc_id"], r["item_id"]): (r["first_word"], round(r["similarity"], 9)) for r in twice.collect()}
+    want = {k: (a, round(s, 9)) for k, (a, s) in brute_findings(dict(enumerate(texts)), items).items()}
+    assert got == want and (0, 0) in got and (3, 0) in got
+
+
+def test_findings_of_whole_tables_equal_brute_force(spark):
+    """Every document of sf0.001 and planted edits of every item beside it: none is lost."""
+    folder = "/root/testdata/sf0.001"
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    items, texts = dict(tuple(r) for r in bench.collect()), dict(tuple(r) for r in docs.collect())
+    draw, planted = np.random.default_rng(9), []
+    for i, (_, text) in enumerate(sorted(items.items())):
+        w = words(text)
+        for edits in range(3):
+            changed = list(w)
+            for at in draw.integers(0, len(w), edits) if w else []:
+                changed[at] = f"edit{at}"
+            planted.append((10_000_000 + 3 * i + edits, "before it " * edits + " ".join(changed) + " and after"))
+    texts.update(planted)
+    found = decontaminate.findings(docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string")), bench)
+    rows = found.collect()
+    want = {k: round(s, 9) for k, (_, s) in brute_findings(texts, items).items()}
+    assert len(want) > len(items) and {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == want
+    for r in rows:  # the window that is named has that similarity
+        window = " ".join(words(texts[r["doc_id"]])[r["first_word"] : r["first_word"] + r["n_words"]])
+        assert brute_findings({0: window}, {0: items[r["item_id"]]})[0, 0] == (0, pytest.approx(r["similarity"]))
+
+
 def test_simhash_is_the_majority_of_bits(spark):
     draw = np.random.default_rng(4)
     rows = [([int(x) for x in draw.integers(-(2**63), 2**63 - 1, n)],) for n in (1, 2, 7, 33)]
