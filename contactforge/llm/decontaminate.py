@@ -11,10 +11,11 @@ A window of similarity 0.8 whose shingles all differ is expected to differ in ab
 five deviations. A shingle that repeats weighs on every bit and voids that estimate, so windows and items with a
 repeated shingle are verified exactly without asking their fingerprints.
 
-Defined results: a finding is a pair of document and item with its best window (the first of equals among the
-starts that shared shingles set; a start before them may tie where the edge of the item is edited), counted in words from 0. Null or wordless texts and items find nothing; documents shorter than an item are one window;
-rows that share id and text are one document,
-items that share them one item; an item id with several texts is found by any of them; an empty table finds nothing; other columns are ignored.
+Defined results: a finding is a pair of document and item with its best window, counted in words from 0 (the first
+of equals among the starts that shared shingles set; where the edge of an item is edited, an earlier start may tie).
+Null or wordless texts and items find nothing; documents shorter than an item are one window; rows that share id and
+text are one document, items that share them one item; an item id with several texts is found by any of them; an
+empty table finds nothing; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -93,7 +94,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
             "item_id", "n", F.lit(k).alias("k"), shingles(F.col("w"), F.lit(0), F.col("n") - k, k).alias("s"))
         for k in sizes
     ])
-    own = staged(own.withColumn("item_print", simhash(F.col("s"))))
+    own = staged(own.select("*", simhash(F.col("s")).alias("item_print"), repeats(F.col("s")).alias("item_repeats")))
     places = staged(own.select("item_id", "n", "k", F.posexplode("s").alias("item_at", "h")))
 
     texts = docs.select(F.col(key).alias("doc_id"), row_key(key, text).alias("row"), word_hashes(F.col(text)).alias("w"))
@@ -119,23 +120,20 @@ def findings(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     windows = windows.select("doc_id", "row", "n", "start", (F.col("stop") - F.col("start")).alias("words"), by_size.alias("s"))
     windows = staged(windows.select("*", simhash(F.col("s")).alias("print"), repeats(F.col("s")).alias("repeats")))
 
-    pairs = met.select("row", "n", "start", "item_id").join(windows.select("row", "n", "start", "print", "repeats"), ["row", "n", "start"])
-    right = own.select("item_id", "item_print", repeats(F.col("s")).alias("item_repeats"))
-    right = small_side(right, right.count())
-    prints = pairs.join(right, "item_id")
-    plain = ~(F.col("repeats") | F.col("item_repeats"))
-    window_blocks = prints.filter(plain).select("row", "n", "start", "item_id", "print", F.inline(blocks(F.col("print"))))
-    item_blocks = own.select("item_id", "item_print", F.inline(blocks(F.col("item_print"))))
-    within = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
-    near = window_blocks.join(small_side(item_blocks, item_blocks.count()), ["item_id", "block", "bits"]).filter(within)
     columns = ["row", "n", "start", "item_id"]
-    candidates = staged(near.select(columns).distinct().unionByName(prints.filter(~plain).select(columns)))
+    apart = F.array(F.struct(F.lit(-1).alias("block"), F.lit(0).cast("long").alias("bits")))  # meets the item whatever its print
+    pairs = met.select(columns).join(windows.select("row", "n", "start", "print", "repeats"), ["row", "n", "start"])
+    window_blocks = pairs.select(*columns, "print", "repeats", F.inline(F.concat(blocks(F.col("print")), apart)))
+    item_blocks = own.select("item_id", "item_print", "item_repeats", F.inline(F.concat(blocks(F.col("item_print")), apart)))
+    within = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
+    asked = F.when(F.col("block") >= 0, within).otherwise(F.col("repeats") | F.col("item_repeats"))
+    near = window_blocks.join(small_side(item_blocks, own.count() * (RADIUS + 2)), ["item_id", "block", "bits"]).filter(asked)
+    candidates = near.select(columns).distinct()
 
-    looked_at = windows.join(candidates.select("row", "n", "start").distinct(), ["row", "n", "start"], "left_semi")
-    counted = looked_at.select("doc_id", "row", "n", "start", "words", F.size("s").alias("total"), F.explode("s").alias("h"))
-    counted = counted.groupBy("doc_id", "row", "n", "start", "words", "total", "h").agg(F.count(F.lit(1)).alias("c"))
+    counted = candidates.join(windows, ["row", "n", "start"]).select("doc_id", *columns, "words", F.size("s").alias("total"), F.explode("s").alias("h"))
+    counted = counted.groupBy("doc_id", *columns, "words", "total", "h").agg(F.count(F.lit(1)).alias("c"))
     item_counts = own.select("item_id", F.size("s").alias("item_total"), F.explode("s").alias("h")).groupBy("item_id", "item_total", "h").agg(F.count(F.lit(1)).alias("ic"))
-    shared = candidates.join(counted, ["row", "n", "start"]).join(item_counts, ["item_id", "h"])
+    shared = counted.join(item_counts, ["item_id", "h"])
     least = shared.groupBy("doc_id", "row", "item_id", "n", "start", "words", "total", "item_total").agg(F.sum(F.least("c", "ic")).alias("both"))
     either = F.col("total") + F.col("item_total") - F.col("both")
     alike = least.filter(F.col("both") * 100 >= either * PERCENT).withColumn("similarity", F.col("both") / either)
