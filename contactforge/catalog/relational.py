@@ -4,8 +4,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import clusters, features, groups, interfaces, membership, quality
+from ..operators import bloom, clusters, features, groups, interfaces, membership, quality
 from ..plans import publish, release_tree
+from ..session import staged
 from ..sources import delimited
 from ..streaming import incremental
 from .base import Tables, query, written
@@ -92,13 +93,17 @@ WITH done AS (SELECT o_orderkey AS id, substr(sha1('2|cutoff=' || o_orderstatus)
 SELECT o_orderkey AS id, o_custkey FROM orders
 WHERE o_orderkey NOT IN (SELECT id FROM done WHERE signature = substr(sha1('2|cutoff=F'), 1, 12))""")
 def _incremental_todo(t: Tables):
-    done = t.orders.select(
-        F.col("o_orderkey").alias("id"), text.param_signature("2", F.array(F.concat(F.lit("cutoff="), "o_orderstatus"))).alias("signature")
-    )
+    """Stores a record an order under its own signature, with the filters beside, and asks for one of them."""
     import hashlib
 
-    current = hashlib.sha1(b"2|cutoff=F").hexdigest()[:12]
-    return membership.incremental_todo(t.orders.select(F.col("o_orderkey").alias("id"), "o_custkey"), done, current)
+    def signature(status: str) -> str:
+        return hashlib.sha1(f"2|cutoff={status}".encode()).hexdigest()[:12]
+
+    path = written(t)
+    for status in ("F", "O", "P"):
+        records = t.orders.filter(F.col("o_orderstatus") == status).select(F.col("o_orderkey").alias("id"), F.lit("ok").alias("status"), F.lit("").alias("record"))
+        incremental.append_records(records, path, "contacts", signature(status))
+    return incremental.unrecorded(t.orders.select(F.col("o_orderkey").alias("id"), "o_custkey"), path, "contacts", signature("F"))
 
 
 @query("set_intersect", "SELECT doc_id AS id FROM documents INTERSECT SELECT doc_id FROM labels WHERE quality = 1")
@@ -643,7 +648,8 @@ def _cache_upsert(t: Tables):
         counted = lines.groupBy("id").agg(F.count("*").alias("n"))
         return ids.join(counted, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
 
-    return incremental.cache_upsert(cache, t.orders.select(F.col("o_orderkey").alias("id")), compute)
+    known = staged(bloom.filters(cache))
+    return incremental.cache_upsert(cache, t.orders.select(F.col("o_orderkey").alias("id")), compute, filters=known)
 
 
 # ---- cells, projections and sinks' row content ------------------------------------------------------

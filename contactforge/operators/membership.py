@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
+from .bloom import outside
 
 
 def candidate_select(entries: DataFrame, entities: DataFrame, snapshot: str, min_length: int = 51, min_chains: int = 2) -> DataFrame:
@@ -37,20 +38,19 @@ def master_semi(pairs: DataFrame, surface: DataFrame, key: str = "id") -> DataFr
     return pairs.join(surface.select(key), key, "left_semi").orderBy(key)
 
 
-def missing_files(expected: DataFrame, present: DataFrame, key: str = "id") -> DataFrame:
-    """Expected ids without an artifact, in id order."""
-    return expected.select(key).join(present.select(key), key, "left_anti").orderBy(key)
+def missing_files(expected: DataFrame, present: DataFrame, key: str = "id", filters: DataFrame | None = None) -> DataFrame:
+    """Expected ids without an artifact, in id order. ``filters`` are those of the present ids, where they are stored."""
+    return outside(expected.select(key), present, filters, key).orderBy(key)
 
 
-def stale_prune(present: DataFrame, referenced: DataFrame, key: str = "id") -> DataFrame:
-    """Stored artifacts nobody refers to any more."""
-    return present.select(key).join(referenced.select(key), key, "left_anti")
+def stale_prune(present: DataFrame, referenced: DataFrame, key: str = "id", filters: DataFrame | None = None) -> DataFrame:
+    """Stored artifacts nobody refers to any more. ``filters`` are those of the referenced ids."""
+    return outside(present.select(key), referenced, filters, key)
 
 
-def incremental_todo(items: DataFrame, done: DataFrame, signature: str, key: str = "id") -> DataFrame:
-    """Items without a stored record under this parameter signature."""
-    current = done.filter(F.col("signature") == signature).select(key)
-    return items.join(current, key, "left_anti")
+def incremental_todo(items: DataFrame, done: DataFrame, signature: str, key: str = "id", filters: DataFrame | None = None) -> DataFrame:
+    """Items without a stored record under this parameter signature. ``filters`` are those of that signature's ids."""
+    return outside(items, done.filter(F.col("signature") == signature), filters, key)
 
 
 def set_intersect(a: DataFrame, b: DataFrame) -> DataFrame:

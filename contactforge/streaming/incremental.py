@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..operators import bloom
 
 
 def first_release_ledger(ledger: DataFrame, current: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
@@ -24,25 +27,56 @@ def persist_policy(records: DataFrame) -> DataFrame:
     return records.filter(~F.col("status").startswith("retry:"))
 
 
-def cache_upsert(cache: DataFrame, items: DataFrame, compute: Callable[[DataFrame], DataFrame], key: str = "id") -> DataFrame:
-    """Compute only the items the cache does not know and return cache plus new rows."""
-    unknown = items.select(key).distinct().join(cache.select(key), key, "left_anti")
+def cache_upsert(cache: DataFrame, items: DataFrame, compute: Callable[[DataFrame], DataFrame], key: str = "id", filters: DataFrame | None = None) -> DataFrame:
+    """Compute only the items the cache does not know and return cache plus new rows.
+
+    With the ``filters`` of the cached ids, only what they may hold is looked for in the cache.
+    """
+    unknown = bloom.outside(items.select(key).distinct(), cache, filters, key)
     return cache.unionByName(compute(unknown))
 
 
-def append_records(records: DataFrame, path: str, stage: str, signature: str, sequence: int | None = None) -> None:
+def known_folder(path: str) -> str:
+    """Where the filters of a record table lie: beside it."""
+    return f"{path.rstrip('/')}.known"
+
+
+def append_records(records: DataFrame, path: str, stage: str, signature: str, sequence: int | None = None, blocks: int = bloom.BLOCKS) -> None:
     """Append storable outcomes to the record table, partitioned so a reader prunes to one stage and signature.
 
-    ``sequence`` orders the calls (the clock by default); a later outcome of an id replaces an earlier one.
+    ``sequence`` orders the calls (the clock by default); a later outcome of an id replaces an earlier one. The
+    filters of the ids are written first: an append that fails in between leaves bits too many, never one too few.
+    ``blocks`` stays the same for the life of a table.
     """
     number = time.time_ns() if sequence is None else sequence
     kept = persist_policy(records).select(F.lit(stage).alias("stage"), F.lit(signature).alias("signature"), "id", "status", "record", F.lit(number).cast("long").alias("sequence"))
+    bits = bloom.filters(kept, blocks=blocks).select(F.lit(stage).alias("stage"), F.lit(signature).alias("signature"), "block", "bits")
+    bits.write.mode("append").partitionBy("stage", "signature").parquet(known_folder(path))
     kept.write.mode("append").partitionBy("stage", "signature").parquet(path)
 
 
+def stored_filters(spark: SparkSession, path: str, stage: str, signature: str) -> DataFrame:
+    """``DF[block, bits]`` of one stage and signature, a row for each append."""
+    return _stage_rows(spark, known_folder(path), stage, signature).select("block", "bits")
+
+
+def unrecorded(items: DataFrame, path: str, stage: str, signature: str, key: str = "id", blocks: int = bloom.BLOCKS) -> DataFrame:
+    """Items without a stored outcome; ids that the filters deny do not touch the record table."""
+    spark = items.sparkSession
+    ids = _stage_rows(spark, path, stage, signature).select(F.col("id").alias(key))
+    return bloom.outside(items, ids, stored_filters(spark, path, stage, signature), key, blocks)
+
+
+def _stage_rows(spark: SparkSession, path: str, stage: str, signature: str) -> DataFrame:
+    """One stage and signature of a record or filter table; both names are texts, also where they look like numbers."""
+    found = spark.read.parquet(path).schema
+    schema = StructType([StructField(f.name, StringType()) if f.name in ("stage", "signature") else f for f in found.fields])
+    return spark.read.schema(schema).parquet(path).filter((F.col("stage") == stage) & (F.col("signature") == signature))
+
+
 def stored_records(spark: SparkSession, path: str, stage: str, signature: str) -> DataFrame:
     """Latest stored outcomes of one stage under one parameter signature."""
-    table = spark.read.parquet(path).filter((F.col("stage") == stage) & (F.col("signature") == signature))
+    table = _stage_rows(spark, path, stage, signature)
     last = F.max(F.struct("sequence", "status", "record")).alias("last")
     return table.groupBy("id").agg(last).select("id", "last.status", "last.record")
 
