@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import bloom, clusters, features, groups, interfaces, membership, quality
+from ..operators import bloom, clusters, features, groups, interfaces, membership, quality, workers
 from ..plans import publish, release_tree
 from ..session import staged
 from ..sources import delimited
@@ -652,6 +652,24 @@ def _cache_upsert(t: Tables):
     return incremental.cache_upsert(cache, t.orders.select(F.col("o_orderkey").alias("id")), compute, filters=known)
 
 
+def _price_of_rest(row: dict) -> tuple[dict | None, str]:
+    """A line's price in cents by what its quantity has over the last ten; small lines have no record."""
+    if row["l_quantity"] < 10:
+        return None, "no_lot"
+    return {"line": row["l_linenumber"], "cents": round(row["l_extendedprice"] * 100) // int(row["l_quantity"] % 10)}, "ok"
+
+
+@query("worker_records", """
+SELECT l_orderkey AS id, CASE WHEN l_quantity < 10 THEN 'no_lot' WHEN l_quantity % 10 = 0 THEN 'retry:ZeroDivisionError' ELSE 'ok' END AS status,
+  CASE WHEN l_quantity >= 10 AND l_quantity % 10 <> 0 THEN l_linenumber::BIGINT END AS line,
+  CASE WHEN l_quantity >= 10 AND l_quantity % 10 <> 0 THEN round(l_extendedprice * 100)::BIGINT // (l_quantity % 10)::BIGINT END AS cents FROM lineitem""")
+def _worker_records(t: Tables):
+    """A worker over every line item; lines of full tens divide by zero and become a status."""
+    items = t.lineitem.select(F.col("l_orderkey").alias("id"), "l_linenumber", "l_quantity", "l_extendedprice")
+    out = workers.run_worker(items, _price_of_rest, "struct<line: bigint, cents: bigint>")
+    return out.select("id", "status", "record.line", "record.cents")
+
+
 # ---- cells, projections and sinks' row content ------------------------------------------------------
 
 

@@ -1,13 +1,14 @@
 """Sinks: delimited tables, sharded entry files, FASTA, contacts, structures, clusters and releases."""
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.text import entry_shard, sanitize, structure_shard
 from ..operators.features import project_ordered
-from ..operators.quality import release_counts
 
 
 def text_lines(df: DataFrame, sep: str) -> DataFrame:
@@ -75,14 +76,25 @@ def cluster_tables_publish(tables: dict[str, DataFrame], path: str) -> None:
     cluster_tables(tables).write.mode("overwrite").partitionBy("kind").option("sep", "\t").csv(path)
 
 
+def counted_write(deliverables: dict[str, DataFrame], write: Callable[[str, DataFrame], None], label: str = "deliverable") -> DataFrame:
+    """Write every frame by ``write(name, frame)`` and count its rows on the way: ``DF[label, n]``, one row a name.
+
+    The counts are metrics of the writing jobs, so nothing is read or computed a second time; a number for each
+    name is all that reaches the driver. The counter sits last before the sink, where a retried task counts once.
+    """
+    counts = []
+    for name, df in deliverables.items():
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        write(name, df.observe(seen, F.count(F.lit(1)).alias("n")))
+        counts.append((name, seen.get["n"]))
+    spark = next(iter(deliverables.values())).sparkSession
+    return spark.createDataFrame(counts, f"{label} string, n long")
+
+
 def release_snapshot(deliverables: dict[str, DataFrame], path: str, date: str, name: str = "release") -> DataFrame:
     """Immutable dated copy of the deliverables with a manifest; an existing release is an error."""
     target = f"{path}/{name}-{date}"
-    for label, df in deliverables.items():
-        df.write.mode("errorifexists").parquet(f"{target}/{label}")
-    spark = next(iter(deliverables.values())).sparkSession
-    written = {label: spark.read.parquet(f"{target}/{label}") for label in deliverables}
-    counts = release_counts(written)
+    counts = counted_write(deliverables, lambda label, df: df.write.mode("errorifexists").parquet(f"{target}/{label}"))
     manifest = counts.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("deliverable", "n")))).alias("counts"))
     manifest = manifest.select(F.to_json(F.struct(F.lit(f"{name}-{date}").alias("release"), F.lit(date).alias("snapshot_date"), "counts")).alias("value"))
     manifest.write.mode("errorifexists").text(f"{target}/manifest")

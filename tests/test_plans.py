@@ -1,5 +1,5 @@
 from contactforge import fixed_values as fv
-from contactforge.plans import build
+from contactforge.plans import build, publish
 
 
 def test_surface_and_energy_of_one_pair(frame):
@@ -70,3 +70,20 @@ def test_workers_need_no_package_of_their_own(spark):
     assert len(shipped) == 1 == len([f for f in spark.sparkContext.listFiles if f.endswith("contactforge.zip")])
     names = zipfile.ZipFile(f"{__import__('pyspark').SparkFiles.get('contactforge.zip')}").namelist()
     assert "contactforge/operators/octree.py" in names
+
+
+def test_deliverables_are_counted_while_they_are_written(spark, frame, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000)
+    frames = {"all": rows.mapInArrow(seen, "id long"), "sorted": rows.filter("id < 10").orderBy("id"), "none": rows.filter("id < 0"), "literal": frame([], "id long")}
+    counts = publish.release_snapshot(frames, str(tmp_path), "2026-08-30")
+    assert {r.deliverable: r.n for r in counts.collect()} == {"all": 1000, "sorted": 10, "none": 0, "literal": 0}
+    assert runs.value == 1000  # computed once
+    manifest = spark.read.text(f"{tmp_path}/release-2026-08-30/manifest").first().value
+    assert '"release-2026-08-30"' in manifest and "1000" in manifest
