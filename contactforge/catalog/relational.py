@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import bloom, clusters, features, groups, interfaces, membership, quality, workers
-from ..plans import publish, release_tree
+from ..plans import committed, publish, release_tree
 from ..session import staged
 from ..sources import delimited
 from ..streaming import incremental
@@ -713,7 +713,7 @@ def _write_final(t: Tables):
     master = membership.master_semi(t.orders.select(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority"), t.lineitem.select(F.col("l_orderkey").alias("id")))
     path = written(t)
     publish.write_final(master, path)
-    return publish.text_lines(delimited.read_delimited(t.spark, path, ";"), ";")
+    return publish.text_lines(committed.read_committed(t.spark, path, ";"), ";")
 
 
 @query("fasta_export", r"""SELECT '>' || doc_id::VARCHAR || ' | ' || CASE WHEN trim(coalesce(s, '')) = '' THEN 'Peptide' ELSE trim(s) END || chr(10) || seq AS value

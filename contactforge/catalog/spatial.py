@@ -1,13 +1,13 @@
 """Distance joins, surfaces and structure operators over line items read as atoms."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions import energy
 from ..functions.text import literal_map
 from ..operators import groups, signature3d, spatial, structure, surface
-from ..plans import build, publish
+from ..plans import build, committed, publish
 from .base import CHAIN_PAIR_SQL, SHORT_SQL, Tables, atoms, atoms_sql, chain_pairs, is_short, long_atoms, query, short_atoms, written
 
 A = atoms_sql()
@@ -106,7 +106,7 @@ def _contact_totals(t: Tables):
     pairs, path = chain_pairs(t), written(t)
     found = spatial.typed_contacts(pairs, _kinds(atoms(t)), RULES)
     publish.contacts_publish(found, path)
-    back = t.spark.read.schema(T.StructType([*found.schema, T.StructField("shard", T.StringType())])).option("header", True).csv(path)
+    back = committed.read_committed(t.spark, path, ",", found.schema, quote='"')
     return spatial.contact_totals(back, pairs)
 
 

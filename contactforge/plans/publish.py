@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.text import entry_shard, sanitize, structure_shard
 from ..operators.features import project_ordered
+from .committed import write_committed
 
 
 def text_lines(df: DataFrame, sep: str) -> DataFrame:
@@ -17,16 +18,19 @@ def text_lines(df: DataFrame, sep: str) -> DataFrame:
     return df.select(F.concat_ws(sep, *cells).alias("value"))
 
 
+def headed_parts(df: DataFrame, path: str, key: str = "id", sep: str = ";", header: list[str] | None = None) -> None:
+    """Sorted, sanitised delimited table with a header in every part file, as readers of header-named files take it."""
+    lines = text_lines(df.orderBy(key), sep).select(F.col("value").alias(sep.join(header or df.columns)))
+    lines.write.mode("overwrite").option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(path)
+
+
 def write_final(df: DataFrame, path: str, key: str = "id", sep: str = ";", header: list[str] | None = None) -> None:
-    """Sorted, sanitised delimited table with a header in every part file.
+    """Sorted, sanitised delimited table with one header, committed as a whole; its parts joined by name are the published file.
 
     ``header`` replaces the column names at the sink, where a published name may occur twice.
     """
-    ordered = df.orderBy(key)
-    cells = [sanitize(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))).alias(f"c{i}") for i, c in enumerate(df.columns)]
     names = header or df.columns
-    lines = ordered.select(F.concat_ws(sep, *cells).alias(sep.join(names)))
-    lines.write.mode("overwrite").option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(path)
+    write_committed(text_lines(df.orderBy(key), sep), path, sep.join(names), names)
 
 
 def entry_lines(df: DataFrame, key: str = "id", order: list[str] | None = None, sep: str = ";") -> DataFrame:
@@ -42,23 +46,25 @@ def entry_lines(df: DataFrame, key: str = "id", order: list[str] | None = None,
 
 def split_per_entry(df: DataFrame, path: str, key: str = "id", order: list[str] | None = None) -> None:
     """Entry lines in folders by the first character; tasks write their own shards, so nothing is shuffled."""
-    entry_lines(df, key, order).write.mode("overwrite").partitionBy("shard").text(path)
+    write_committed(entry_lines(df, key, order), path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
     """The positional summary: tab-separated, no header."""
     from ..operators.features import explore_projection
 
-    text_lines(explore_projection(df), "\t").write.mode("overwrite").text(path)
+    write_committed(text_lines(explore_projection(df), "\t"), path)
 
 
 def write_fasta(records: DataFrame, path: str) -> None:
-    records.write.mode("overwrite").text(path)
+    """Records of two lines each, committed as a whole."""
+    write_committed(records, path)
 
 
 def contacts_publish(contacts: DataFrame, path: str, key: str = "id") -> None:
-    """Contact rows in folders by the entry's first character."""
-    contacts.withColumn("shard", entry_shard(F.col(key))).write.mode("overwrite").partitionBy("shard").option("header", True).csv(path)
+    """Contact rows in folders by the entry's first character, each with one header, committed as a whole."""
+    rows = contacts.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in contacts.columns])).alias("value"), entry_shard(F.col(key)).alias("shard"))
+    write_committed(rows, path, ",".join(contacts.columns), contacts.columns)
 
 
 def structures_publish(atoms: DataFrame, path: str) -> None:
