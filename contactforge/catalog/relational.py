@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import bloom, clusters, features, groups, interfaces, membership, quality, workers
-from ..plans import committed, publish, release_tree
+from ..plans import build, committed, publish, release_tree
 from ..session import staged
 from ..sources import delimited
 from ..streaming import incremental
@@ -208,8 +208,7 @@ def _pdb_fanout(t: Tables):
     return features.pdb_fanout(pairs, record)
 
 
-@query("entity_resolve", """
-WITH poly AS (SELECT 'O' || l_orderkey::VARCHAR AS pdb, l_orderkey * 100000 + l_partkey AS pos, l_partkey AS entity,
+ENTITY_SQL = """poly AS (SELECT 'O' || l_orderkey::VARCHAR AS pdb, l_orderkey * 100000 + l_partkey AS pos, l_partkey AS entity,
     l_returnflag || ',' || l_linestatus || l_returnflag AS strands FROM lineitem),
 strand AS (SELECT pdb, pos, entity, unnest(string_split(strands, ',')) AS chain FROM poly),
 chain_entity AS (SELECT pdb, chain, arg_max(entity, pos) AS entity FROM strand GROUP BY 1, 2),
@@ -222,14 +221,17 @@ named AS (SELECT * FROM src WHERE name NOT IN ('', '?', '.')),
 ent_org AS (SELECT pdb, entity, arg_min(name, r::BIGINT * 1000000000000 + pos) AS org FROM named GROUP BY 1, 2),
 any_org AS (SELECT pdb, arg_min(name, r::BIGINT * 1000000000000 + pos) AS org FROM named GROUP BY 1),
 chain_info AS (SELECT c.pdb, c.chain, e.description, o.org FROM chain_entity c
-  LEFT JOIN entities e USING (pdb, entity) LEFT JOIN ent_org o USING (pdb, entity))
-SELECT o_orderkey AS id, coalesce(a.description, '') AS PEPTIDE_DESC, coalesce(b.description, '') AS PROTEIN_DESC,
+  LEFT JOIN entities e USING (pdb, entity) LEFT JOIN ent_org o USING (pdb, entity)),
+resolved AS (SELECT o_orderkey AS id, coalesce(a.description, '') AS PEPTIDE_DESC, coalesce(b.description, '') AS PROTEIN_DESC,
   upper(coalesce(b.org, g.org, '')) AS organism, upper(coalesce(a.org, g.org, '')) AS PEPTIDE_ORGANISM,
   upper(coalesce(b.org, g.org, '')) AS PROTEIN_ORGANISM
 FROM orders LEFT JOIN chain_info a ON a.pdb = 'O' || o_orderkey::VARCHAR AND a.chain = 'A'
 LEFT JOIN chain_info b ON b.pdb = 'O' || o_orderkey::VARCHAR AND b.chain = 'OR'
-LEFT JOIN any_org g ON g.pdb = 'O' || o_orderkey::VARCHAR""")
-def _entity_resolve(t: Tables):
+LEFT JOIN any_org g ON g.pdb = 'O' || o_orderkey::VARCHAR)"""
+
+
+def _entities(t: Tables):
+    """Pairs, chain lists, descriptions and source organisms of one structure per order."""
     pdb = F.concat(F.lit("O"), "l_orderkey").alias("pdb")
     pos = (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("pos")
     pairs = t.orders.select(
@@ -242,7 +244,38 @@ def _entity_resolve(t: Tables):
     kind = F.when(F.col("p_type").startswith("S"), "syn").when(F.col("p_type").startswith("M"), "nat").otherwise("gen")
     name = F.when(F.col("p_size") > 25, F.col("p_brand")).when(F.col("p_size") > 15, "?").otherwise("")
     sources = lines.select(pdb, pos, F.col("l_partkey").alias("entity"), kind.alias("kind"), name.alias("name"))
-    return features.entity_resolve(pairs, poly, entity, sources)
+    return pairs, poly, entity, sources
+
+
+@query("entity_resolve", f"WITH {ENTITY_SQL} SELECT * FROM resolved")
+def _entity_resolve(t: Tables):
+    return features.entity_resolve(*_entities(t))
+
+
+_HEADER = {
+    "a.title": ("_struct.title", "'?'"), "b.title": ("_struct.title", "concat(o_orderpriority, chr(9), 'of ', cast(o_orderkey as string))"),
+    "c.title": ("_struct.title", "'a later one'"), "keywords": ("_struct_keywords.pdbx_keywords", "o_orderstatus"),
+    "method": ("_exptl.method", "case when o_custkey % 2 = 0 then 'X-RAY DIFFRACTION' else '.' end"),
+    "date": ("_pdbx_database_status.recvd_initial_deposition_date", "cast(cast(o_orderdate as date) as string)"),
+    "refine": ("_refine.ls_d_res_high", "case when o_orderkey % 3 = 0 then '?' else concat(cast(o_orderkey % 40 as string), '.50') end"),
+    "reflns": ("_reflns.d_resolution_high", "case when o_orderkey % 2 = 0 then '' else concat(cast(o_orderkey % 7 as string), '.0') end"),
+    "em": ("_em_3d_reconstruction.resolution", "case when o_orderkey % 5 = 0 then 'n/a' end"), "other": ("_cell.length_a", "'90.1'"),
+}
+
+
+@query("build_metadata", f"""WITH {ENTITY_SQL},
+heads AS (SELECT o_orderkey AS id, o_orderstatus, o_orderpriority || ' of ' || o_orderkey::VARCHAR AS title, o_orderdate, o_custkey,
+  CASE WHEN o_orderkey % 3 <> 0 THEN (o_orderkey % 40)::VARCHAR || '.5' WHEN o_orderkey % 2 <> 0 THEN (o_orderkey % 7)::VARCHAR || '.0'
+    WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE '' END AS resolution FROM orders WHERE o_orderkey % 11 <> 0)
+SELECT id, o_orderstatus AS "CLASSIFICATION", o_orderdate::DATE::VARCHAR AS "DEPOSITION_DATE", resolution AS "RESOLUTION",
+  CASE WHEN o_custkey % 2 = 0 THEN 'X-RAY DIFFRACTION' ELSE '' END AS "STRUCTURE_METHOD", title AS "TITLE", organism,
+  "PEPTIDE_ORGANISM", "PROTEIN_ORGANISM", "PEPTIDE_DESC", "PROTEIN_DESC" FROM heads JOIN resolved USING (id)""")
+def _build_metadata(t: Tables):
+    """Headers as items in long form; every eleventh order has no readable header."""
+    rows = [F.struct(F.lit(i).alias("pos"), F.lit(item).alias("item"), F.expr(value).alias("value")) for i, (item, value) in enumerate(_HEADER.values())]
+    items = t.orders.filter("o_orderkey % 11 <> 0").select(F.concat(F.lit("O"), "o_orderkey").alias("pdb"), F.inline(F.array(*rows)))
+    pairs, poly, entity, sources = _entities(t)
+    return build.build_metadata(pairs, items, poly, entity, sources)
 
 
 INTERFACES_SQL = """faces AS (
@@ -448,9 +481,27 @@ EXACT_SQL = """ex AS (SELECT count(*) AS n, count(*) FILTER (WHERE trim(coalesce
   count(*) FILTER (WHERE trim(coalesce(o.brand, '')) = trim(coalesce(t.brand, ''))) AS h1 FROM ours o JOIN theirs t USING (id)),
 exact AS (SELECT 'pI' AS "column", h0 AS hits, n, round(100.0::DOUBLE * h0 / n, 1) AS pct FROM ex
   UNION ALL SELECT 'brand', h1, n, round(100.0::DOUBLE * h1 / n, 1) FROM ex)"""
+EXTRACTION_SQL = """exo AS (SELECT l_partkey AS id, max(l_quantity)::INTEGER::VARCHAR AS size, CASE WHEN max(l_linenumber) < 7 THEN 'Brand#' || (min(l_suppkey) % 5 + 1)::VARCHAR
+  || (max(l_linenumber) % 5 + 1)::VARCHAR ELSE '' END AS seq FROM lineitem GROUP BY 1),
+exm AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_size::VARCHAR = size) AS h0, count(*) FILTER (WHERE p_brand = seq) AS h1 FROM part JOIN exo ON p_partkey = id),
+extraction AS (SELECT 'size' AS metric, h0 AS hits, n, round(100.0::DOUBLE * h0 / n, 1) AS pct FROM exm UNION ALL SELECT 'sequence', h1, n, round(100.0::DOUBLE * h1 / n, 1) FROM exm)"""
 SPECS = [("MW", "MW", 120.0), ("pI", "pI", 5.0)]
 
 
+def _extracted(t: Tables):
+    pairs = t.part.select(F.col("p_partkey").alias("id"), F.col("p_size").alias("pep_size"), F.col("p_brand").alias("pep_seq"))
+    brand = F.concat(F.lit("Brand#"), F.min("l_suppkey") % 5 + 1, F.max("l_linenumber") % 5 + 1)
+    before = t.lineitem.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.max("l_quantity").cast("int").cast("string").alias("PEPTIDE_SIZE"), F.when(F.max("l_linenumber") < 7, brand).alias("PEPTIDE_SEQ"),
+    )
+    return pairs, before
+
+
+@query("extraction_hits", f"WITH {EXTRACTION_SQL} SELECT * FROM extraction")
+def _extraction_hits(t: Tables):
+    return quality.extraction_hits(*_extracted(t))
+
+
 @query("tolerance_hits", f"WITH {MEASURED_SQL}, {TOLERANCE_SQL} SELECT * FROM tolerance")
 def _tolerance_hits(t: Tables):
     return quality.tolerance_hits(*_measured(t), SPECS)
@@ -461,12 +512,14 @@ def _exact_hits(t: Tables):
     return quality.exact_hits(*_measured(t), ["pI", "brand"])
 
 
-@query("scorecard", f"""WITH {MEASURED_SQL}, {TOLERANCE_SQL}, {EXACT_SQL}
+@query("scorecard", f"""WITH {MEASURED_SQL}, {TOLERANCE_SQL}, {EXACT_SQL}, {EXTRACTION_SQL}
+SELECT 'extraction' AS section, metric, hits, n, printf('%.1f%%', pct) AS pct FROM extraction UNION ALL
 SELECT 'within tolerance' AS section, metric, hits, n, printf('%.1f%%', pct) AS pct FROM tolerance
 UNION ALL SELECT 'exact', "column", hits, n, printf('%.1f%%', pct) FROM exact""")
 def _scorecard(t: Tables):
     ours, theirs = _measured(t)
     return quality.scorecard({
+        "extraction": quality.extraction_hits(*_extracted(t)),
         "within tolerance": quality.tolerance_hits(ours, theirs, SPECS), "exact": quality.exact_hits(ours, theirs, ["pI", "brand"]),
     })
 

@@ -159,6 +159,14 @@ PROPERTY_NAMES = {
     "Neg": "NegativeResidues", "Pos": "PositiveResidues", "TotalAtoms": "TotalAtoms", "pI": "pI",
 }
 SURFACE_NAMES = ["ASA_Complex", "ASA_Peptide", "ASA_Protein", "BPP%", "BPepA", "BProA", "BSA"]
+#: Published metadata column to the header item that holds it, and the items of a resolution in the order of preference.
+HEADER_ITEMS = {
+    "CLASSIFICATION": "_struct_keywords.pdbx_keywords",
+    "TITLE": "_struct.title",
+    "STRUCTURE_METHOD": "_exptl.method",
+    "DEPOSITION_DATE": "_pdbx_database_status.recvd_initial_deposition_date",
+}
+RESOLUTION_ITEMS = ["_refine.ls_d_res_high", "_reflns.d_resolution_high", "_em_3d_reconstruction.resolution"]
 METADATA_NAMES = [
     "CLASSIFICATION", "DEPOSITION_DATE", "RESOLUTION", "STRUCTURE_METHOD", "TITLE", "organism",
     "PEPTIDE_ORGANISM", "PROTEIN_ORGANISM", "PEPTIDE_DESC", "PROTEIN_DESC",

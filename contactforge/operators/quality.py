@@ -44,6 +44,18 @@ def exact_hits(ours: DataFrame, oracle: DataFrame, columns: list[str], key: str
     return _long_hits(both, "column", {c: text(c) == text(f"oracle_{c}") for c in columns})
 
 
+def extraction_hits(pairs: DataFrame, oracle: DataFrame, key: str = "id") -> DataFrame:
+    """Pairs known to an earlier release (``PEPTIDE_SIZE, PEPTIDE_SEQ``) whose size and sequence are the same text there; a missing value is blank."""
+    both = oracle_inner(pairs.select(key, "pep_size", "pep_seq"), oracle.select(key, "PEPTIDE_SIZE", "PEPTIDE_SEQ"), key)
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    return _long_hits(both, "metric", {
+        "size": text("pep_size") == text("oracle_PEPTIDE_SIZE"), "sequence": text("pep_seq") == text("oracle_PEPTIDE_SEQ"),
+    })
+
+
 def header_check(columns: list[str], oracle_columns: list[str], n: int | None = None) -> bool:
     """Whether the first ``n`` names (default: all of the oracle's) agree."""
     n = len(oracle_columns) if n is None else n

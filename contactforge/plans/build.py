@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.energy import binding_energy, bsa_filter, buried_surface, surface_share
 from ..functions.properties import physchem_profile
+from ..functions.text import known, resolution_value
 from ..operators import groups, interfaces, octree, spatial, structure, surface
-from ..operators.features import attach_features, long_to_wide, project_ordered, property_names
+from ..operators.features import attach_features, entity_resolve, long_to_wide, pdb_fanout, project_ordered, property_names
 from ..operators.membership import master_semi
 from ..session import staged
 
@@ -81,6 +82,43 @@ def build_energy(pairs: DataFrame, atoms: DataFrame, radius: float | None = None
     return scored.join(binding_energy(scored, temperature), "id")
 
 
+def header_values(items: DataFrame) -> DataFrame:
+    """One row per structure of ``DF[pdb, pos, item, value]``: the first known value of each published item, ``""`` without one.
+
+    A structure with no known item still has its row; one without any row of ``items`` has none, as a header that could not be read.
+    """
+    used = sorted({*fv.HEADER_ITEMS.values(), *fv.RESOLUTION_ITEMS})
+    value = known(F.col("value"))
+
+    def cell(item: str) -> str:
+        return f"_{used.index(item)}"
+
+    firsts = [
+        F.min_by("value", F.when((F.col("item") == item) & value.isNotNull(), F.col("pos"))).alias(cell(item)) for item in used
+    ]
+    # where no row has a place, any value may come back: only known items count
+    seen = [F.count_if((F.col("item") == item) & value.isNotNull()).alias(f"n{cell(item)}") for item in used]
+    rows = items.groupBy("pdb").agg(*firsts, *seen)
+
+    def found(item: str):
+        return F.when(F.col(f"n{cell(item)}") > 0, F.col(cell(item))).otherwise("")
+
+    return rows.select(
+        "pdb", *[found(item).alias(name) for name, item in fv.HEADER_ITEMS.items()],
+        resolution_value(*[found(item) for item in fv.RESOLUTION_ITEMS]).alias("RESOLUTION"),
+    )
+
+
+def build_metadata(pairs: DataFrame, items: DataFrame, entity_poly: DataFrame, entity: DataFrame, sources: DataFrame) -> DataFrame:
+    """The ten metadata columns of every pair whose structure has a header; tabs and line ends become blanks.
+
+    ``items`` as for ``header_values``, the others as for ``entity_resolve``. Crowded structures are spread.
+    """
+    cells = pdb_fanout(pairs.select("id", "pdb"), header_values(items)).drop("pdb")
+    out = cells.join(entity_resolve(pairs, entity_poly, entity, sources), "id")
+    return out.select("id", *[F.translate(c, "\t\n", "  ").alias(c) for c in fv.METADATA_NAMES])
+
+
 def build_wide(pairs: DataFrame, sources: dict[str, DataFrame], profile: DataFrame | None = None) -> DataFrame:
     """The 102-column wide table: pairs with a surface row, every feature left-joined, blanks for gaps.
 

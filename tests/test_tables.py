@@ -228,3 +228,33 @@ def test_wide_and_multi_tables(frame):
     row = table.first()
     assert row[0] == row[56] == "S-P" and row["Interface Residues"] == "3,5:3,5" and row.pisa_css_per_chain == "7:7"
     assert row.protein_MW.endswith(":") and row.peptide_Length == "3" and row.pisa_interface_class_per_chain == "biological:biological"
+
+
+def test_metadata_of_pairs(frame):
+    from contactforge.plans import build
+
+    pairs = frame([("1ABC-A-B", "1ABC", "A", "B"), ("1ABC-A-Z", "1ABC", "A", "Z"), ("2XYZ-A-B", "2XYZ", "A", "B"), ("3NON-A-B", "3NON", "A", "B")], "id string, pdb string, pep_chain string, prot_chain string")
+    items = frame([
+        ("1ABC", 1, "_struct.title", "?"), ("1ABC", 2, "_struct.title", "a\tb"), ("1ABC", 3, "_struct.title", "later"), ("1ABC", 9, "_refine.ls_d_res_high", "."),
+        ("1ABC", 5, "_reflns.d_resolution_high", "2.30"), ("1ABC", 4, "_em_3d_reconstruction.resolution", "9"), ("1ABC", 6, "_exptl.method", None),
+        ("2XYZ", 1, "_cell.length_a", "3"),
+    ], "pdb string, pos int, item string, value string")
+    poly = frame([("1ABC", 1, 1, "A, C"), ("1ABC", 2, 2, "B")], "pdb string, pos int, entity int, strands string")
+    entity = frame([("1ABC", 1, "pep"), ("1ABC", 2, ".")], "pdb string, entity int, description string")
+    sources = frame([("1ABC", 1, 2, "nat", "Homo sapiens"), ("1ABC", 2, 1, "gen", "?")], "pdb string, pos int, entity int, kind string, name string")
+    rows = {r.id: r.asDict() for r in build.build_metadata(pairs, items, poly, entity, sources).collect()}
+    assert set(rows) == {"1ABC-A-B", "1ABC-A-Z", "2XYZ-A-B"}  # the third structure has no header
+    one = rows["1ABC-A-B"]
+    assert (one["TITLE"], one["RESOLUTION"], one["STRUCTURE_METHOD"], one["CLASSIFICATION"]) == ("a b", "2.3", "", "")
+    assert (one["PEPTIDE_DESC"], one["PROTEIN_DESC"], one["organism"], one["PEPTIDE_ORGANISM"]) == ("pep", "", "HOMO SAPIENS", "HOMO SAPIENS")
+    assert rows["1ABC-A-Z"]["PROTEIN_DESC"] == "" and set(rows["2XYZ-A-B"].values()) == {"2XYZ-A-B", ""}
+    assert build.build_metadata(pairs, items.limit(0), poly, entity, sources).count() == 0
+
+
+def test_extraction_hits(frame):
+    from contactforge.operators.quality import extraction_hits
+
+    pairs = frame([("a", 5, "ACD"), ("b", 6, "AC"), ("c", 7, None), ("d", 8, "X")], "id string, pep_size int, pep_seq string")
+    before = frame([("a", "5", "ACD"), ("b", "06", " AC"), ("c", None, "")], "id string, PEPTIDE_SIZE string, PEPTIDE_SEQ string")
+    assert {tuple(r) for r in extraction_hits(pairs, before).collect()} == {("size", 1, 3, 33.3), ("sequence", 2, 3, 66.7)}
+    assert {tuple(r) for r in extraction_hits(pairs, before.limit(0)).collect()} == {("size", 0, 0, None), ("sequence", 0, 0, None)}
