@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions import text
 from ..operators import bloom, clusters, features, groups, interfaces, membership, quality, workers
 from ..plans import build, committed, publish, release_tree
@@ -584,6 +585,61 @@ def _status_derive(t: Tables):
     return interfaces.status_derive(pairs, records, methods, "1-URGENT")
 
 
+_FACE = {  # interface field -> the cell of a line item, as both engines read it
+    "interface_id": "l_linenumber", "tipo": "'protein'", "chain_1": "l_returnflag", "chain_2": "l_linestatus",
+    "css": "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE concat('0.', CAST(l_suppkey % 10 AS STRING)) END", "area": "CASE WHEN l_tax = 0 THEN NULL ELSE l_partkey % 50 END",
+    "pvalue": "CASE WHEN l_linenumber = 2 THEN NULL ELSE l_suppkey % 7 END",
+}
+_FACE |= {f: _FACE.get(f, f"l_partkey % {i + 11}") for i, f in enumerate(fv.INTERFACE_FIELDS)}
+_BODY = {f: f"(l_partkey + l_suppkey) % {i + 13}" for i, f in enumerate(fv.ASSEMBLY_FIELDS)}
+_FACE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_tax", "l_returnflag", "l_linestatus"]
+_DONE, _STATUS = "CASE WHEN l_orderkey % 2 = 0 THEN 'yes' ELSE 'no' END", "CASE WHEN l_orderkey % 7 = 0 THEN 'no_interfaces' ELSE 'ok' END"
+
+
+def _letters_sql(text: str) -> str:
+    return f"array_to_string(list_sort(string_split({text}, '')), '')"
+
+
+@query("interface_table", f"""
+WITH l AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_FACE_ORDER)}) AS pos,
+  {', '.join(f"({e})::VARCHAR AS {f}" for f, e in {**_FACE, **_BODY}.items())} FROM lineitem),
+recs AS (SELECT l_orderkey, {_STATUS} AS status, {_DONE} AS done, count(*)::VARCHAR AS n FROM lineitem WHERE l_orderkey % 5 <> 0 GROUP BY ALL),
+pairs AS (SELECT DISTINCT l_orderkey, l_linestatus AS pep, l_returnflag AS prot FROM lineitem UNION ALL SELECT o_orderkey, 'Q', 'Z' FROM orders),
+st AS (SELECT pairs.*, done, n, coalesce(status, CASE WHEN l_orderkey % 3 = 0 THEN 'missing' ELSE 'not_xray' END) AS status FROM pairs LEFT JOIN recs USING (l_orderkey)),
+faces AS (SELECT *, least(chain_1, chain_2) AS lo, greatest(chain_1, chain_2) AS hi,
+  row_number() OVER (PARTITION BY l_orderkey, least(chain_1, chain_2), greatest(chain_1, chain_2) ORDER BY coalesce(try_cast(area AS DOUBLE), -1) DESC, pos) AS rn FROM l),
+bodies AS (SELECT *, {_letters_sql("chain_1 || chain_2")} AS k, row_number() OVER (PARTITION BY l_orderkey, {_letters_sql("chain_1 || chain_2")} ORDER BY pos) AS rn FROM l)
+SELECT 'O' || st.l_orderkey::VARCHAR || '-' || pep || '-' || prot AS id, status AS pisa_status,
+  CASE WHEN status = 'not_xray' THEN 'not_applicable' WHEN status <> 'ok' THEN '' WHEN try_cast(f.css AS DOUBLE) IS NULL THEN 'indeterminate'
+    WHEN try_cast(f.css AS DOUBLE) >= {fv.CSS_THRESHOLD} THEN 'biological' ELSE 'crystal-packing' END AS pisa_interface_class,
+  coalesce(done, '') AS pisa_assembly_done, coalesce(n, '') AS pisa_n_interfaces,
+  {', '.join(f"coalesce(f.{f}, '') AS pisa_{f}" for f in fv.INTERFACE_FIELDS)}, {', '.join(f"coalesce(b.{f}, '') AS pisa_{f}" for f in fv.ASSEMBLY_FIELDS)}
+FROM st LEFT JOIN faces f ON status = 'ok' AND f.rn = 1 AND f.l_orderkey = st.l_orderkey AND f.lo = least(pep, prot) AND f.hi = greatest(pep, prot)
+LEFT JOIN bodies b ON status = 'ok' AND b.rn = 1 AND b.l_orderkey = st.l_orderkey AND b.k = {_letters_sql("pep || prot")}""")
+def _interface_table(t: Tables):
+    """The 29-column annotation of every pair, from one nested record per order; every fifth order has none."""
+    def cells(names: dict[str, str]):
+        return [F.expr(e).cast("string").alias(f) for f, e in names.items()]
+
+    def listed(*record):
+        rows = F.array_sort(F.collect_list(F.struct(F.struct(*_FACE_ORDER).alias("_o"), F.struct(*record).alias("_r"))))
+        return F.transform(rows, lambda row: row["_r"])
+
+    key = F.concat(F.lit("O"), "l_orderkey").alias("pdb")
+    body = F.struct(F.concat("l_returnflag", "l_linestatus").alias("composition"), *cells(_BODY))
+    records = staged(t.lineitem.filter("l_orderkey % 5 <> 0").groupBy("l_orderkey").agg(
+        F.count("*").alias("n_interfaces"), listed(*cells(_FACE)).alias("interfaces"), listed(body.alias("_b")).alias("_bodies"),
+    ).select(
+        key, F.expr(_STATUS).alias("status"), F.expr(_DONE).alias("assembly_done"), "n_interfaces", "interfaces",
+        F.transform("_bodies", lambda b: b["_b"]).alias("assemblies"),
+    ))
+    pairs = t.lineitem.select("l_orderkey", F.col("l_linestatus").alias("pep_chain"), F.col("l_returnflag").alias("prot_chain")).distinct()
+    pairs = pairs.unionByName(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit("Q").alias("pep_chain"), F.lit("Z").alias("prot_chain")))
+    pairs = pairs.withColumn("pdb", F.concat(F.lit("O"), "l_orderkey")).withColumn("id", F.concat_ws("-", "pdb", "pep_chain", "prot_chain"))
+    methods = pairs.select("id", F.when(F.col("l_orderkey") % 3 == 0, fv.XRAY).otherwise("SOLUTION NMR").alias("STRUCTURE_METHOD"))
+    return interfaces.interface_table(pairs.drop("l_orderkey"), records, methods)
+
+
 @query("degraded_fill", "SELECT o_orderkey AS id, 'unavailable' AS pisa_status, '' AS pisa_css, '' AS pisa_area FROM orders")
 def _degraded_fill(t: Tables):
     return interfaces.degraded_fill(t.orders.select(F.col("o_orderkey").alias("id")), ["pisa_css", "pisa_area"], "unavailable", "pisa_status")
